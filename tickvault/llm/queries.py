@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from tickvault.llm import fingerprint, quality
+from tickvault.llm import bpe, chat, fingerprint, idfile, packing, quality
 
 QUERIES = {
     "op1_fingerprint": fingerprint.op1_fingerprint,
+    "op3_bpe_trie": bpe.op3_bpe_trie,
     "op4_quality_rules": quality.op4_quality_rules,
+    "op6_packing": packing.op6_packing,
+    "op7_chat": chat.op7_chat,
+    "op9_id_files": idfile.op9_id_files,
 }
 
 SQL = {
     "op4_quality_rules": quality.OP4_SQL,
+    "op7_chat": chat.OP7_SQL,
 }
