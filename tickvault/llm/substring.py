@@ -7,7 +7,7 @@ windows have equal anchors. Consecutive windows with one anchor form a span, of
 1. Documents are dealt to shards. Each shard tells its distinct spans, with their first place and their number there.
 2. Spans that occur twice or more are recurring passages. Where spans differ but share an anchor, their single windows
    are compared too: those that occur twice or more are recurring passages as well.
-3. Each shard compiles the passages that its documents hold, word by word, into an Aho-Corasick automaton, and streams
+3. Each shard compiles the passages that its documents hold, two letters a word, into an Aho-Corasick automaton, and streams
    its documents through it. Every occurrence that starts after the passage's first place is cut out.
 
 A span whose words stand at an earlier place too has all its windows there; a window that repeats has an equal span,
@@ -20,6 +20,7 @@ come before all others. The columns in `carry` are passed on unless they have th
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -144,6 +145,16 @@ def _windows(key: tuple[pa.Scalar, ...], docs: pa.Table, asked: pa.Table) -> pa.
     return pa.Table.from_arrays([pa.array(c) for c in cols], schema=schema)
 
 
+UNKNOWN = "\0\0"
+
+
+def _spelling(words: set[bytes]) -> dict[bytes, str]:
+    """Two letters for each word, the second from another alphabet, so that phrases match at the border of words only. A node of the automaton looks through its edges one by one, so alphabets are as small as two letters allow."""
+    base = math.isqrt(len(words)) + 1
+    letters = [chr(1 + i + 0x800 * (i >= 0xD7FF)) for i in range(2 * base)]
+    return {w: letters[i // base] + letters[base + i % base] for i, w in enumerate(words)}
+
+
 def _cut(carry: Sequence[str]):
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, passages: pa.Table) -> pa.Table:
         import ahocorasick
@@ -151,25 +162,26 @@ def _cut(carry: Sequence[str]):
         shard = Shard(docs)
         removed = [None] * len(shard.words)
         if passages.num_rows:
-            number: dict[bytes, int] = {}
-            number_of = [[number.setdefault(w, len(number)) for w in words] for words in shard.words]
-            automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-            for doc, at, n, first_doc, first_at in zip(*(passages.column(c).to_pylist() for c in ("doc", "at", "n_words", "first_doc", "first_at"))):
-                start = at % ROW
-                phrase = tuple(number_of[shard.index[doc, at // ROW]][start : start + n])
+            told = list(zip(*(passages.column(c).to_pylist() for c in ("doc", "at", "n_words", "first_doc", "first_at"))))
+            places = [(shard.index[doc, at // ROW], at % ROW, n, (first_doc, first_at)) for doc, at, n, first_doc, first_at in told]
+            spell = _spelling({w for k in {p[0] for p in places} for w in shard.words[k]})
+            spelt = {k: [spell[w] for w in shard.words[k]] for k in {p[0] for p in places}}
+            automaton = ahocorasick.Automaton()
+            for k, start, n, first in places:
+                phrase = "".join(spelt[k][start : start + n])
                 known = automaton.get(phrase, None)
-                first = (first_doc, first_at)
                 if known is None or first < known[1]:
                     automaton.add_word(phrase, (n, first))
             automaton.make_automaton()
-            for k, numbers in enumerate(number_of):
-                if len(numbers) < WINDOW:
+            for k, words in enumerate(shard.words):
+                if len(words) < WINDOW:
                     continue
                 doc, row, gone = shard.doc[k], shard.nth[k] * ROW, None
-                for end, (n, first) in automaton.iter(tuple(numbers)):
-                    if (doc, row + end - n + 1) > first:
-                        gone = gone or bytearray(len(numbers))
-                        gone[end - n + 1 : end + 1] = b"\1" * n
+                for end, (n, first) in automaton.iter("".join(spelt[k] if k in spelt else [spell.get(w, UNKNOWN) for w in words])):
+                    end = end // 2 + 1
+                    if (doc, row + end - n) > first:
+                        gone = gone or bytearray(len(words))
+                        gone[end - n : end] = b"\1" * n
                 removed[k] = gone
         kept = [b" ".join(words if gone is None else [w for w, g in zip(words, gone) if not g]).decode() for words, gone in zip(shard.words, removed)]
         back = docs.take(pa.array(shard.order, pa.int64()))
