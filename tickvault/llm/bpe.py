@@ -21,25 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickvault.llm.common import table
-from tickvault.llm.tokens import PIECES, BEYOND, mapped, texts, tokenizer_path
+from tickvault.llm.tokens import BEYOND, PIECES, byte_letters, mapped, texts, tokenizer_path
 
 REMEMBER_WORDS, REMEMBER_PAIRS = 300_000, 400_000
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 stands for itself, and the rest, in order, for U+0100 on."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in own]
-    return {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(rest)}
-
-
 class TrieBpe:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        letters = self.letters = byte_letters()
+        letters = self.letters = {c: b for b, c in enumerate(byte_letters())}
         raw = lambda s: bytes(letters[c] for c in s)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         vocab = {t: i for t, i in spec["model"]["vocab"].items() if t not in self.special}

@@ -7,7 +7,10 @@ library whole.
 
 from __future__ import annotations
 
+import codecs
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,9 +21,10 @@ _S = "\\t-\\r \x85\xa0"
 PIECES = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 BEYOND = re.compile("[^\x00-ɏ]")
 #: Distinct pieces that a worker remembers; past this it starts anew.
-REMEMBER = 400_000
-#: Bytes of one id.
+REMEMBER = 500_000
+#: Bytes of one id, in the arrays here and in files.
 WIDE = 4
+assert array("I").itemsize == WIDE and sys.byteorder == "little"
 
 
 def tokenizer_path() -> str:
@@ -29,46 +33,44 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class Encoder:
-    """Texts -> ids as little-endian unsigned 32-bit integers."""
+def byte_letters() -> str:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 stands for itself, and the rest, in order, for U+0100 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return "".join(chr(b if b in own else next(rest)) for b in range(256))
+
+
+class Encoder(dict):
+    """Texts -> ids as little-endian unsigned 32-bit integers; as a dictionary, it has the ids of pieces, and asks the library's model for those it has not."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.merges = self.tokenizer.model.tokenize
+        self.letters = byte_letters()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        spelt = codecs.charmap_decode(piece.encode(), "strict", self.letters)[0]
+        ids = self[piece] = array("I", [t.id for t in self.merges(spelt)]).tobytes()
+        return ids
 
     def plain(self, text: str) -> bool:
         return not BEYOND.search(text) and not any(s in text for s in self.specials)
 
-    def _learn(self, pieces: list[str]) -> None:
-        import numpy as np
-
-        if len(self.known) + len(pieces) > REMEMBER:
-            self.known.clear()
-        for at in range(0, len(pieces), 20_000):
-            some = pieces[at : at + 20_000]
-            for piece, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[piece] = np.array(got.ids, "<u4").tobytes()
-
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        import numpy as np
-
-        for at in range(0, len(texts), 256):
-            some = texts[at : at + 256]
-            cut = [PIECES.findall(t) if self.plain(t) else None for t in some]
-            distinct = set().union(*(c for c in cut if c))
-            if fresh := [p for p in distinct if p not in self.known]:
-                before = len(self.known)
-                self._learn(fresh)
-                if len(self.known) < before:
-                    self._learn([p for p in distinct if p not in self.known])
-            get = self.known.__getitem__
-            for text, pieces in zip(some, cut):
-                yield b"".join(map(get, pieces)) if pieces is not None else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        get = self.__getitem__
+        for text in texts:
+            if len(self) > REMEMBER:
+                self.clear()
+            if self.plain(text):
+                yield b"".join(map(get, PIECES.findall(text)))
+            else:
+                yield array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
