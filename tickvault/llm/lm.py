@@ -31,7 +31,7 @@ MAX_BITS = 1 << 28
 BITS_AN_ENTRY, PROBES = 10, 4
 L, K = 0.3, 20.0
 #: Tokens that a task gathers before it sends their distinct bigrams on.
-GATHER = 3_000_000
+GATHER = 1_500_000
 END = 0x5EED0F7E47E4D000
 MIX, STEP = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
@@ -150,8 +150,8 @@ def _gathered(log_slices: int):
         for k in range(1 << log_slices):
             c = counts[cut[k] : cut[k + 1]]
             few = np.minimum(c, 255).astype("u1")
-            rows.append((k, keys[cut[k] : cut[k + 1]].tobytes(), few.tobytes(), c[c >= 255].astype("<u4").tobytes(), words[cut_w[k] : cut_w[k + 1]].tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))], ["slice", "keys", "few", "many", "words"])
+            rows.append((k, keys[cut[k] : cut[k + 1]].tobytes(), few.tobytes(), c[c >= 255].astype("<u4").tobytes(), words[cut_w[k] : cut_w[k + 1]].tobytes(), 0 if k else len(values)))
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4, pa.int64()))], ["slice", "keys", "few", "many", "words", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -193,17 +193,17 @@ def _sliced(log_slices: int, max_bits: int):
             here = grams[levels >= which]
             for probe in range(PROBES):
                 data[_at(here, which, probe, np.full(len(here), bits, "u8"))] = True
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "data": pa.array([np.packbits(data, bitorder="little").tobytes()], pa.binary()), "words": pa.array([len(words)], pa.int64()), "entries": pa.array([int(levels.sum())], pa.int64())})
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "data": pa.array([np.packbits(data, bitorder="little").tobytes()], pa.binary()), "words": pa.array([len(words)], pa.int64()), "n": pa.array(np.array([sum(rows.column("n").to_pylist())], "i8")), "entries": pa.array([int(levels.sum())], pa.int64())})
 
     return run
 
 
-def trained(docs: DataFrame, max_bits: int = MAX_BITS) -> tuple[Filter, int]:
-    """The filter, and the number of distinct tokens of (text) rows. What comes to the driver is bounded by max_bits."""
+def trained(docs: DataFrame, max_bits: int = MAX_BITS) -> tuple[Filter, int, int]:
+    """The filter, the number of tokens and that of distinct tokens of (text) rows. What comes to the driver is bounded by max_bits."""
     log_slices = max(8, (4 * width(docs.sparkSession) - 1).bit_length())
-    rows = docs.select("text").mapInArrow(_gathered(log_slices), "slice int, keys binary, few binary, many binary, words binary")
-    parts = rows.groupBy("slice").applyInArrow(_sliced(log_slices, max_bits), "slice int, data binary, words bigint, entries bigint").collect()
-    return Filter(log_slices, {r["slice"]: bytes(r["data"]) for r in parts}), sum(r["words"] for r in parts)
+    rows = docs.select("text").mapInArrow(_gathered(log_slices), "slice int, keys binary, few binary, many binary, words binary, n bigint")
+    parts = rows.groupBy("slice").applyInArrow(_sliced(log_slices, max_bits), "slice int, data binary, words bigint, n bigint, entries bigint").collect()
+    return Filter(log_slices, {r["slice"]: bytes(r["data"]) for r in parts}), sum(r["n"] for r in parts), sum(r["words"] for r in parts)
 
 
 def _words(key: tuple[pa.Scalar, ...], docs: pa.Table) -> pa.Table:
@@ -245,21 +245,13 @@ def _scored(model, n_train: int, n_distinct: int):
 SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
-def _token_count(text: Column) -> Column:
-    """Words and the end: each word is followed by a separator or the end of the text."""
-    flat = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\f\r", "     ")
-    trimmed = F.trim(F.regexp_replace(flat, " {2,}", " "))
-    return F.when(F.length(trimmed) == 0, F.lit(1)).otherwise(F.length(trimmed) - F.length(F.translate(trimmed, " ", "")) + 2)
-
-
 def scored(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Scores (doc_id, text, held_out) rows by a model of those that are not held out."""
     spark = docs.sparkSession
     train = docs.where(~F.col("held_out"))
-    found, n_distinct = trained(train, max_bits)
-    n_train = train.agg(F.coalesce(F.sum(_token_count(F.col("text"))), F.lit(0)).cast("bigint")).first()[0]
+    found, n_train, n_distinct = trained(train, max_bits)
     model = spark.sparkContext.broadcast(found)
-    n_shards = 2 * width(spark)
+    n_shards = 4 * width(spark)
     shards = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(n_shards)).cast("int").alias("shard"), "doc_id", "text", "held_out").groupBy("shard")
     words = shards.applyInArrow(_words, "word bigint, shard int, c bigint")
     counts = words.select("shard", "word", F.sum("c").over(Window.partitionBy("word")).alias("c"))
