@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tickvault.functions.bind import let
 from tickvault.functions.decimalx import decimal_scale, from_little_endian, int64, little_endian_hex, scaled_int, scaled_text
 
 _W, _S = r"[ \t\r\n]*+", r'"[^"\\]*+"'
@@ -26,24 +27,28 @@ def is_side(payload: Column) -> Column:
 
 def level_texts(payload: Column) -> Column:
     """array<struct<px, sz, liq, orders>> of strings; null if the text is no side."""
-    flat = F.regexp_extract_all(payload, F.lit(r'"([^"\\]*)"'), F.lit(1))
-    n = F.floor(F.size(flat) / 4).cast("int")
-    at = lambda i, k: F.get(flat, i * 4 + k)
-    made = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(*[at(i, k).alias(c) for k, c in enumerate(("px", "sz", "liq", "orders"))]))
-    return F.when(is_side(payload), F.when(n > 0, made).otherwise(F.array().cast("array<struct<px: string, sz: string, liq: string, orders: string>>")))
+    def cells(flat: Column) -> Column:
+        n = F.floor(F.size(flat) / 4).cast("int")
+        made = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(*[F.get(flat, i * 4 + k).alias(c) for k, c in enumerate(("px", "sz", "liq", "orders"))]))
+        return F.when(n > 0, made).otherwise(F.array().cast("array<struct<px: string, sz: string, liq: string, orders: string>>"))
+
+    return F.when(is_side(payload), let(F.regexp_extract_all(payload, F.lit(r'"([^"\\]*)"'), F.lit(1)), cells))
 
 
 def levels(payload: Column, px_scale: Column | int, sz_scale: Column | int) -> Column:
     """Scaled levels; null if any number of the side does not fit."""
     made = F.transform(level_texts(payload), lambda v: F.struct(scaled_int(v["px"], px_scale).alias("px"), scaled_int(v["sz"], sz_scale).alias("sz"), int64(v["liq"]).alias("liq"), int64(v["orders"]).alias("orders")))
-    whole = ~F.exists(made, lambda v: v["px"].isNull() | v["sz"].isNull() | v["liq"].isNull() | v["orders"].isNull())
-    return F.when(whole, made)
+    part = lambda v: v["px"].isNull() | v["sz"].isNull() | v["liq"].isNull() | v["orders"].isNull()
+    return let(made, lambda m: F.when(~F.exists(m, part), m))
 
 
 def pack_levels(scaled: Column) -> Column:
-    count = F.substring(little_endian_hex(F.size(scaled).cast("bigint")), 1, 8)
-    body = F.array_join(F.transform(scaled, lambda v: F.concat(*[little_endian_hex(v[c]) for c in ("px", "sz", "liq", "orders")])), "")
-    return F.when(scaled.isNotNull(), F.unhex(F.concat(F.lit("01"), count, body)))
+    def packed(side: Column) -> Column:
+        count = F.substring(little_endian_hex(F.size(side).cast("bigint")), 1, 8)
+        body = F.array_join(F.transform(side, lambda v: F.concat(*[little_endian_hex(v[c]) for c in ("px", "sz", "liq", "orders")])), "")
+        return F.when(side.isNotNull(), F.unhex(F.concat(F.lit("01"), count, body)))
+
+    return let(scaled, packed)
 
 
 def pack(payload: Column, px_scale: Column | int, sz_scale: Column | int) -> Column:
@@ -52,6 +57,10 @@ def pack(payload: Column, px_scale: Column | int, sz_scale: Column | int) -> Col
 
 def unpack(data: Column) -> Column:
     """Scaled levels of a packed side; a short one, another version and a wrong size are errors."""
+    return let(data, _unpack)
+
+
+def _unpack(data: Column) -> Column:
     n = F.conv(F.regexp_replace(F.hex(F.substring(data, 2, 4)), "(..)(..)(..)(..)", "$4$3$2$1"), 16, 10).cast("bigint")
     at = lambda i, k: from_little_endian(F.substring(data, (F.lit(6) + i * 32 + k * 8).cast("int"), F.lit(8)))
     made = F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: F.struct(*[at(i, k).alias(c) for k, c in enumerate(("px", "sz", "liq", "orders"))]))
@@ -68,8 +77,7 @@ def unpack(data: Column) -> Column:
 
 def encode_side(payload: Column, px_scale: Column | int, sz_scale: Column | int) -> Column:
     """struct<packed, raw>: one of them for a side with text, none for an empty or missing one."""
-    packed = pack(payload, px_scale, sz_scale)
-    return F.struct(packed.alias("packed"), F.when(packed.isNull() & (F.length(payload) > 0), payload).alias("raw"))
+    return let(pack(payload, px_scale, sz_scale), lambda packed: F.struct(packed.alias("packed"), F.when(packed.isNull() & (F.length(payload) > 0), payload).alias("raw")))
 
 
 def side_text(scaled: Column, px_scale: Column | int, sz_scale: Column | int) -> Column:
@@ -86,8 +94,8 @@ def reconstruct(raw: Column, packed: Column, px_scale: Column | int, sz_scale: C
 def side_scales(payload: Column) -> Column:
     """struct<px, sz>: the largest scales of a side; null if the side or a number is malformed."""
     scales = F.transform(level_texts(payload), lambda v: F.struct(decimal_scale(v["px"]).alias("px"), decimal_scale(v["sz"]).alias("sz")))
-    bad = F.exists(scales, lambda v: v["px"].isNull() | v["sz"].isNull())
-    return F.when(~bad, F.struct(F.coalesce(F.array_max(F.transform(scales, lambda v: v["px"])), F.lit(0)).alias("px"), F.coalesce(F.array_max(F.transform(scales, lambda v: v["sz"])), F.lit(0)).alias("sz")))
+    top = lambda all_, c: F.coalesce(F.array_max(F.transform(all_, lambda v: v[c])), F.lit(0)).alias(c)
+    return let(scales, lambda x: F.when(~F.exists(x, lambda v: v["px"].isNull() | v["sz"].isNull()), F.struct(top(x, "px"), top(x, "sz"))))
 
 
 #: Codes of the book's actions. Fixed values.

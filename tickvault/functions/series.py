@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tickvault.functions.bind import let
+
 
 def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
@@ -37,11 +39,22 @@ def split_first_escaped(text: Column, separator: str) -> Column:
 
 def parse_series_key(key: Column) -> Column:
     """struct<measurement, tags>; of a repeated tag the last value counts."""
-    parts = _raw_parts(key, ",")
-    pairs = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: split_first_escaped(p, "="))
-    entries = F.transform(pairs, lambda p: F.struct(p["head"].alias("key"), unescape(p["tail"]).alias("value")))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
-    return F.when(key.isNotNull(), F.struct(unescape(F.element_at(parts, 1)).alias("measurement"), F.map_from_entries(last).alias("tags")))
+    def parsed(parts: Column) -> Column:
+        tags = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), _tag)
+        return F.struct(unescape(F.element_at(parts, 1)).alias("measurement"), _map(tags).alias("tags"))
+
+    return F.when(key.isNotNull(), let(_raw_parts(key, ","), parsed))
+
+
+def _tag(part: Column) -> Column:
+    pair = split_first_escaped(part, "=")
+    return F.struct(pair["head"].alias("key"), unescape(pair["tail"]).alias("value"))
+
+
+def _map(entries: Column) -> Column:
+    """A map of entries, of which the last of a key counts."""
+    later = lambda all_, e, i: F.exists(F.slice(all_, i + 2, F.size(all_)), lambda x: x["key"] == e["key"])
+    return let(entries, lambda all_: F.map_from_entries(F.filter(all_, lambda e, i: ~later(all_, e, i))))
 
 
 def series_key(measurement: Column, tags: Column) -> Column:
@@ -123,10 +136,13 @@ def lp_line(line: Column, measurement: str) -> Column:
     head = F.regexp_extract(text, whole, 1)
     middle = F.regexp_extract(text, whole, 2)
     time = F.substring(text, F.length(head) + F.length(middle) + 2, F.length(text))
-    key = parse_series_key(head)
     raw = F.regexp_extract_all(F.concat(F.lit(","), F.rtrim(middle)), F.lit(r'(?s),((?:[^\\",]|\\.|"(?:[^\\"]|\\.)*+")*+)'), F.lit(1))
     pairs = F.filter(F.transform(raw, lambda r: split_first_escaped(r, "=")), lambda p: (p["head"] != "") & (p["tail"] != ""))
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda later: later["head"] == p["head"]))
-    fields = F.map_from_entries(F.transform(last, lambda p: F.struct(p["head"].alias("key"), lp_value(p["tail"]).alias("value"))))
-    ok = (start > 0) & (middle != "") & time.rlike(r"^\s*[+-]?\d+\s*$") & (key["measurement"] == measurement) & (F.size(pairs) > 0)
-    return F.when(ok, F.struct(key["tags"].alias("tags"), fields.alias("fields"), F.trim(time).try_cast("bigint").alias("time_ns")))
+    fields = _map(F.transform(pairs, lambda p: F.struct(p["head"].alias("key"), lp_value(p["tail"]).alias("value"))))
+    whole_line = (start > 0) & (middle != "") & time.rlike(r"^\s*[+-]?\d+\s*$")
+
+    def made(parts: Column) -> Column:
+        key, found = parts["k"], parts["f"]
+        return F.when((key["measurement"] == measurement) & (F.size(found) > 0), F.struct(key["tags"].alias("tags"), found.alias("fields"), F.trim(time).try_cast("bigint").alias("time_ns")))
+
+    return F.when(whole_line, let(F.struct(parse_series_key(head).alias("k"), fields.alias("f")), made))
