@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickvault.functions.decimalx import human_bytes, human_ratio, ratio
+from tickvault.sources import store
 
 #: Names of folders that say nothing about what is in them. Fixed values.
 GENERIC_ROOTS = ("exported", "exported_parallel", "parquet", "data")
@@ -46,8 +48,8 @@ def footers(files: DataFrame) -> DataFrame:
 
 def sidecars(spark: SparkSession, root: str, name: str) -> DataFrame:
     """(dataset, text) of the JSON files of a name below root."""
-    rows = spark.read.option("wholetext", "true").option("pathGlobFilter", name).option("recursiveFileLookup", "true").text(root)
-    return rows.select(F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]+$", "").alias("dataset"), F.col("value").alias("text"))
+    found = [(path.rpartition("/")[0], store.read_text(spark, path)) for path in store.find(spark, root, re.escape(name))]
+    return spark.createDataFrame(found, "dataset string, text string")
 
 
 def status(checkpoint: Column, summary: Column) -> Column:
@@ -71,10 +73,10 @@ def sizes(spark: SparkSession, root: str) -> DataFrame:
     files = listing(spark, root, "*.parquet").where(F.col("path").rlike(r"\.parquet/[^/]+\.parquet$|\.parquet/[^/]*=[^/]*/.*\.parquet$"))
     files = files.withColumn("dataset", F.regexp_extract("path", r"^(.*?\.parquet)/", 1))
     found = files.join(footers(files), "path")
-    per = found.groupBy("dataset").agg(F.count("*").alias("parts"), F.sum("rows").alias("rows"), F.sum("row_groups").alias("row_groups"), F.sum("length").alias("actual"), F.sum("compressed").alias("compressed"), F.sum("uncompressed").alias("uncompressed"), F.min_by(F.try_element_at("meta", F.lit("measurement")), "path").alias("own"))
+    plain = lambda c: F.regexp_replace(c, r"^file:/*", "/")  # noqa: E731  (readers differ in how they spell local paths)
+    per = found.withColumn("dataset", plain("dataset")).groupBy("dataset").agg(F.count("*").alias("parts"), F.sum("rows").alias("rows"), F.sum("row_groups").alias("row_groups"), F.sum("length").alias("actual"), F.sum("compressed").alias("compressed"), F.sum("uncompressed").alias("uncompressed"), F.min_by(F.try_element_at("meta", F.lit("measurement")), "path").alias("own"))
     for name, c in (("_checkpoint.json", "checkpoint"), ("_summary.json", "summary"), ("summary.json", "summary2")):
-        side = sidecars(spark, root, name).withColumnRenamed("text", c) if not listing(spark, root, name).isEmpty() else spark.createDataFrame([], f"dataset string, {c} string")
-        per = per.join(side, "dataset", "left")
+        per = per.join(sidecars(spark, root, name).select(plain("dataset").alias("dataset"), F.col("text").alias(c)), "dataset", "left")
     summary = F.coalesce("summary", "summary2")
     base = F.regexp_replace(F.lit(root.rstrip("/")), r"^file:/*", "/")
     relative = F.regexp_replace(F.regexp_replace("dataset", r"^file:/*", "/"), F.concat(F.lit("^"), F.regexp_replace(base, r"([.\\+*?\[^\]$(){}=!<>|:\-])", r"\\$1"), F.lit("/?")), "")
@@ -121,8 +123,6 @@ def catalog(spark: SparkSession, root: str) -> DataFrame:
     """(kind, dataset, measurement, status, rows, bytes): what the summaries and manifests below root tell."""
     out = None
     for name, kind in (("_summary.json", "exported"), ("summary.json", "exported"), ("_manifest.json", "parallel")):
-        if listing(spark, root, name).isEmpty():
-            continue
         get = lambda k: F.get_json_object("text", f"$.{k}")
         rows = sidecars(spark, root, name).select(F.lit(kind).alias("kind"), "dataset", get("measurement").alias("measurement"), F.coalesce(get("status"), F.when(get("completed") == "false", "active").otherwise("completed")).alias("status"), get("rows").try_cast("bigint").alias("rows"), get("bytes").try_cast("bigint").alias("bytes"))
         out = rows if out is None else out.unionByName(rows)

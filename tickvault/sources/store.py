@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +18,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def find(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Paths of the files below root whose name matches, sorted. Spark's readers pass over names that begin with an underscore; this does not."""
+    fs, p = _at(spark, root)
+    found, names = [], re.compile(pattern)
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        path = files.next().getPath()
+        if names.fullmatch(path.getName()):
+            found.append(path.toUri().toString())
+    return sorted(found)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Writes beside the path and renames, so readers see the old text or the new one."""
     fs, p = _at(spark, path)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tickvault.functions.series import wal_segment
 from tickvault.operators.deletes import without_later_deletes
 from tickvault.operators.lww import latest
+from tickvault.sources import store
 from tickvault.sources.codecs import Corrupt, snappy, unsnappy
 from tickvault.sources.tsm import TYPES, VALUES, named
 
@@ -97,13 +98,19 @@ LOG = f"shard_id int, segment bigint, seq bigint, pos bigint, key string, delete
 
 def log(spark: SparkSession, root: str) -> DataFrame:
     """Writes (with time_ns and a value) and deletes (with min_time and max_time, null for all times) in the order of seq and pos."""
-    rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.wal").option("recursiveFileLookup", "true").load(root)
-    rows = rows.select(F.regexp_extract("path", r"(\d+)/_\d+\.wal$", 1).try_cast("int").alias("shard_id"), wal_segment(F.col("path")).alias("segment"), "content")
+    paths = store.find(spark, root, r"_\d+\.wal")
+    rows = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)), "path")
+    rows = rows.select(F.regexp_extract("path", r"(\d+)/_\d+\.wal$", 1).try_cast("int").alias("shard_id"), wal_segment(F.col("path")).alias("segment"), "path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
         schema = pa.schema([("shard_id", pa.int32()), ("segment", pa.int64()), ("seq", pa.int64()), ("pos", pa.int64()), ("key", pa.string()), ("deletes", pa.bool_()), ("min_time", pa.int64()), ("max_time", pa.int64()), ("time_ns", pa.int64()), *TYPES.items()])
         for batch in batches:
-            for shard, segment, data in zip(*(c.to_pylist() for c in batch.columns)):
+            for shard, segment, path in zip(*(c.to_pylist() for c in batch.columns)):
+                where, name = fs.FileSystem.from_uri(path)
+                with where.open_input_file(name) as f:
+                    data = f.read()
                 out = []
                 for number, (kind, payload) in enumerate(entries(data)):
                     base = {"shard_id": shard, "segment": segment, "seq": segment * ENTRIES + number, "pos": 0, "deletes": kind != WRITE}
