@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 SEPARATORS = "[\\x20\\x09-\\x0D]+"
 
 
+#: Bytes that a writer of an intermediate table holds before it writes them.
+ROW_GROUP = 16 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -42,5 +46,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: its lineage ends there, so a lost executor costs no more than the tasks it ran."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,18 +11,21 @@ in any common order two linked sets share one of their first size - needed + 1 s
 number of sets that have the shingle, so what many documents share comes last. The boundary is where the cost of
 subsets passes that of lists, by the histogram of sizes.
 
-Inverted lists are scanned in rounds. First each set meets one pivot of each of its lists; verified links are joined to
-components, and after some rounds with other pivots the sets of a list that are still in different components meet each
-other, so that no link between components is missed while large groups of near copies never make all their pairs.
+The order is made twice: first from the shingles in three tenths of the hash space, which leaves the few sets that are
+not mostly their own; then from all shingles of those. What lists connect is a cluster, and links lie inside clusters.
+A cluster is scanned in memory, by block: all intersections of a block come from products of its incidence matrix, and
+only a spanning forest of the links leaves it. A large cluster is dealt to blocks, each with the same few pivots; only
+the sets that are still outside its largest component then meet the rest of it, again block by block. So a group of
+near copies never makes its pairs as rows, and no link between components is missed.
 
 Defined results: a text with one to three words has its whole sequence as its only shingle; a null, empty or blank text
 has an empty set and no link; rows with one doc_id and different texts each count, with the id as their component's
-candidate. Null ids are not linked on and give their own component (null). Other columns are not passed on.
+candidate. Rows without an id link like others, but name no component: where no linked row has an id it is null. Other
+columns are not passed on.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from math import comb
 
@@ -30,15 +33,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickvault.llm.common import stored, table
+from tickvault.llm.common import stored, table, width
 from tickvault.llm.graph import components
 from tickvault.llm.tokens import slices
 
 SHINGLE, THRESHOLD = 4, 85
 #: Shingles with a hash below this are counted; three tenths of the space of signed 64-bit hashes.
 COUNTED = -(1 << 63) + (1 << 64) * 3 // 10
-#: Rounds of pivots before the sets of different components meet.
-PIVOTS = 3
+#: Sets, and shingles, of a block; sets of a cluster that all its blocks hold.
+BLOCK_SETS, BLOCK_SHINGLES, PIVOTS = 1024, 1 << 21, 24
+#: Parts of the hash of an id.
+SIEVE = 1 << 20
+#: Shingles that are multiplied at once.
+COLUMNS = 4096
 #: Cost of a shingle on an inverted list, and of proving a pair of sets, in subsets; sizes that may be light.
 LIST_COST, PROOF_COST, LARGEST_LIGHT = 2.0, 8.0, 40
 
@@ -105,163 +112,220 @@ def key_of(found) -> int:
     return xxhash.xxh3_64_intdigest(found.tobytes(), len(found)) - (1 << 63)
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, 1000):
+FOUND = "doc_id bigint, n_shingles bigint, key bigint, n_counted int, small array<bigint>, listed binary"
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each document's set in short: its size and key; all shingles of a small set; the counted shingles, and as many
+    others as a prefix may need, once for each key that the task meets."""
+    import numpy as np
+
+    done: set[int] = set()
+    for batch in slices(batches, 500):
         sets = shingle_sets(batch.column(1).to_pylist())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array([key_of(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "n_shingles", "key"])
+        keys, counted, small, listed = [], [], [], []
+        for s in sets:
+            key = key_of(s) if len(s) else None
+            new = key is not None and key not in done
+            m = int(np.searchsorted(s, COUNTED))
+            keys.append(key)
+            counted.append(m)
+            small.append(s if new and len(s) <= LARGEST_LIGHT else None)
+            listed.append(s[: max(m, prefix(len(s)))].tobytes() if new else None)
+            done.add(key)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.int64()), pa.array(counted, pa.int32()), pa.array(small, pa.list_(pa.int64())), pa.array(listed, pa.binary())], ["doc_id", "n_shingles", "key", "n_counted", "small", "listed"])
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, shingle): a row for each shingle of (key, listed)."""
+    import numpy as np
 
+    for batch in slices(batches, 500):
+        sets = [np.frombuffer(b, "i8") for b in batch.column(1).to_pylist()]
+        keys = np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.concatenate(sets), pa.int64())], ["key", "shingle"])
 
-def _listed(light: int):
-    """(shingle, key, n, n_counted): of heavy sets, the counted shingles and as many others as the prefix may need."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
+def _subsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(subset, size, key, n): of light sets, the subsets of the sizes that links need."""
+    from itertools import combinations
 
-        done: set[int] = set()
-        for batch in slices(batches, 1000):
-            tokens, keys, sizes, counted = [], [], [], []
-            for s in shingle_sets(batch.column(0).to_pylist()):
-                n = len(s)
-                if 100 * n <= THRESHOLD * light or (key := key_of(s)) in done:
-                    continue
-                done.add(key)
-                m = int(np.searchsorted(s, COUNTED))
-                tokens.append(s[: max(m, prefix(n))])
-                keys.append(np.full(len(tokens[-1]), key, "i8"))
-                sizes.append(np.full(len(tokens[-1]), n, "i4"))
-                counted.append(np.full(len(tokens[-1]), m, "i4"))
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, keys, sizes, counted)], ["shingle", "key", "n", "n_counted"])
+    import numpy as np
+    import xxhash
 
-    return run
+    for batch in slices(batches, 500):
+        out: list[tuple[int, int, int, int]] = []
+        for key, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for size in subset_sizes(len(s)):
+                out += [(xxhash.xxh3_64_intdigest(np.array(c, "i8").tobytes(), size) - (1 << 63), size, key, len(s)) for c in combinations(s, size)]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int32()))], ["subset", "size", "key", "n"])
 
 
-def _subsets(light: int):
-    """(subset, size, key, n): of light sets, the subsets of the sizes that links need."""
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 500):
+        sets = [s for s in shingle_sets(batch.column(0).to_pylist()) if len(s)]
+        yield pa.RecordBatch.from_arrays([pa.array(map(key_of, sets), pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["key", "shingles"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from itertools import combinations
 
-        import numpy as np
-        import xxhash
+def intersections(left: list, right: list):
+    """The sizes of the intersections of each set on the left with each on the right."""
+    import numpy as np
 
-        done: set[int] = set()
-        for batch in slices(batches, 1000):
-            out: list[tuple[int, int, int, int]] = []
-            for s in shingle_sets(batch.column(0).to_pylist()):
-                n = len(s)
-                if not 0 < n <= light or (key := key_of(s)) in done:
-                    continue
-                done.add(key)
-                for size in subset_sizes(n):
-                    out += [(xxhash.xxh3_64_intdigest(np.array(c, "i8").tobytes(), size) - (1 << 63), size, key, n) for c in combinations(s.tolist(), size)]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int32()))], ["subset", "size", "key", "n"])
+    sets = [*left, *right]
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[at] > 1
+    owner, (distinct, at) = owner[shared], np.unique(at[shared], return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    total = np.zeros((len(left), len(right)), "f4")
+    for low in range(0, len(distinct), COLUMNS):
+        a, b = np.searchsorted(at, [low, low + COLUMNS])
+        m = np.zeros((len(sets), min(COLUMNS, len(distinct) - low)), "f4")
+        m[owner[a:b], at[a:b] - low] = 1
+        total += m[: len(left)] @ m[len(left) :].T
+    return total
+
+
+def linked(left: list, right: list):
+    import numpy as np
 
-    return run
+    same = intersections(left, right).astype("i8")
+    n, m = np.array([len(s) for s in left], "i8"), np.array([len(s) for s in right], "i8")
+    return 100 * same >= THRESHOLD * (n[:, None] + m[None, :] - same)
 
 
-def _proved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b) of the pairs that link, from their texts."""
+def forest(near, keys: list[int]) -> list[tuple[int, int]]:
+    """(set, another of its component) for the sets of a block that have links: a tree for each component."""
     import numpy as np
 
-    for batch in slices(batches, 200):
-        a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        both: dict[int, bytes] = dict(zip(a, batch.column(2).to_pylist())) | dict(zip(b, batch.column(3).to_pylist()))
-        sets = dict(zip(both, shingle_sets([zlib.decompress(z).decode() for z in both.values()])))
-        link = []
-        for x, y in zip(a, b):
-            s, t = sets[x], sets[y]
-            same = len(np.intersect1d(s, t, assume_unique=True))
-            link.append(100 * same >= THRESHOLD * (len(s) + len(t) - same))
-        keep = pa.array(link)
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+    label = np.arange(len(keys))
+    while True:
+        new = np.minimum(label, np.where(near, label[None, :], len(keys)).min(axis=1))
+        new = new[new]
+        if (new == label).all():
+            return [(keys[i], keys[j]) for i, j in enumerate(label.tolist()) if keys[i] != keys[j]]
+        label = new
+
+
+def searched(keys: tuple[list[int], list[int]], sets: tuple[list, list]) -> list[tuple[int, int]]:
+    """The forest of a unit: of its only side, or of the links between its two sides."""
+    import numpy as np
 
+    if not sets[1]:
+        return forest(linked(sets[0], sets[0]), keys[0])
+    between = linked(*sets)
+    near = np.zeros((len(keys[0]) + len(keys[1]),) * 2, bool)
+    near[: len(keys[0]), len(keys[0]) :] = between
+    near[len(keys[0]) :, : len(keys[0])] = between.T
+    return forest(near, keys[0] + keys[1])
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, 1000):
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([zlib.compress((t or "").encode(), 1) for t in batch.column(1).to_pylist()], pa.binary())], ["key", "packed"])
 
+def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b): links that connect what is linked in each unit; the rows (unit, side, key, shingles) of a unit come together."""
 
-def _sizes_fit(n: Column, m: Column) -> Column:
-    return (100 * n >= THRESHOLD * m) & (100 * m >= THRESHOLD * n)
+    def made(edges: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges)], ["a", "b"])
 
+    unit, out, keys, sets = None, [], ([], []), ([], [])
+    for batch in batches:
+        begin, flat = batch.column(3).offsets.to_numpy(), batch.column(3).values.to_numpy(zero_copy_only=False)
+        for i, (u, side, key) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
+            if u != unit:
+                out += searched(keys, sets) if sets[0] else []
+                unit, keys, sets = u, ([], []), ([], [])
+                if len(out) > 10_000:
+                    yield made(out)
+                    out = []
+            keys[side].append(key)
+            sets[side].append(flat[begin[i] : begin[i + 1]].copy())
+    out += searched(keys, sets) if sets[0] else []
+    if out:
+        yield made(out)
 
-def _ascending(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
+def _scan(units: DataFrame) -> DataFrame:
+    return units.select("unit", "side", "key", "shingles").repartition(width(units.sparkSession), "unit").sortWithinPartitions("unit").mapInArrow(_scanned, "a bigint, b bigint")
 
-def postings(texts: DataFrame, light: int) -> DataFrame:
-    """(shingle, key, n): what heavy sets have on inverted lists. A shingle that one set has is in the order but on no list."""
-    listed = texts.mapInArrow(_listed(light), "shingle bigint, key bigint, n int, n_counted int")
-    same = Window.partitionBy("shingle")
-    listed = listed.repartition(F.col("shingle")).dropDuplicates(["shingle", "key"])
-    listed = listed.withColumn("sets", F.count("*").over(same)).where("sets > 1")
-    place = F.struct(F.when(F.col("shingle") < COUNTED, F.col("sets")).otherwise(F.lit((1 << 62))).alias("sets"), F.col("shingle"))
-    by_key = listed.groupBy("key").agg(F.first("n").alias("n"), F.first("n_counted").alias("n_counted"), F.sort_array(F.collect_list(place)).alias("places"))
-    alone = F.col("n_counted") - F.size(F.filter("places", lambda p: p["shingle"] < COUNTED))
+
+def _spread(n: Column) -> Column:
+    return F.sequence(F.lit(0), n - 1)
+
+
+def postings(sets: DataFrame) -> DataFrame:
+    """(shingle, key): the rarest shingles of sets (key, shingles), as many as a link needs, without those that one set has."""
+    rows = sets.select("key", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    rows = rows.withColumn("sets", F.count("*").over(Window.partitionBy("shingle"))).where("sets > 1")
+    by_key = rows.groupBy("key").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("places"))
+    alone = F.col("n") - F.size("places")
     room = F.col("n") - F.ceil(F.lit(THRESHOLD) * F.col("n") / 100) + 1 - alone
     by_key = by_key.withColumn("room", room.cast("int")).where("room > 0")
-    return by_key.select("key", "n", F.explode(F.slice("places", F.lit(1), F.col("room"))).alias("place")).select("place.shingle", "key", "n")
-
+    return by_key.select("key", F.explode(F.slice("places", F.lit(1), F.col("room"))).alias("place")).select("place.shingle", "key")
 
-def links(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """(a, b): links between keys that connect all sets that links connect."""
-    spark = docs.sparkSession
-    texts = docs.select("text")
-    small = keys.where(F.col("n_shingles").between(1, LARGEST_LIGHT)).groupBy("n_shingles").agg(F.countDistinct("key").alias("c"))
-    light = boundary({r["n_shingles"]: r["c"] for r in small.collect()})  # LARGEST_LIGHT rows at most
 
-    found = texts.mapInArrow(_subsets(light), "subset bigint, size int, key bigint, n int")
-    least = found.groupBy("subset", "size").agg(F.min(F.struct("n", "key")).alias("to"))
+def light_links(found: DataFrame, light: int) -> DataFrame:
+    small = found.where(F.col("small").isNotNull() & (F.col("n_shingles") <= light)).select("key", "small").dropDuplicates(["key"])
+    subsets = small.mapInArrow(_subsets, "subset bigint, size int, key bigint, n int")
+    least = subsets.groupBy("subset", "size").agg(F.min(F.struct("n", "key")).alias("to"))
     need = F.ceil(F.lit(THRESHOLD) * (F.col("n") + F.col("to.n")) / (100 + THRESHOLD))
-    proved = found.join(least, ["subset", "size"]).where((F.col("key") != F.col("to.key")) & (need <= F.col("size"))).select(*_ascending(F.col("key"), F.col("to.key"))).distinct()
-
-    lists = stored(postings(texts, light), "lists")
-    # a key's text is that of its first document; only keys on lists need one
-    wanted = lists.select("key").distinct().join(keys.groupBy("key").agg(F.min("doc_id").alias("doc_id")), "key")
-    packed = stored(docs.select("doc_id", "text").join(wanted, "doc_id").dropDuplicates(["key"]).select("key", "text").mapInArrow(_packed, "key bigint, packed binary"), "packed")
-
-    def prove(pairs: DataFrame) -> DataFrame:
-        with_a = pairs.join(packed.withColumnRenamed("key", "a").withColumnRenamed("packed", "pa"), "a")
-        with_b = with_a.join(packed.withColumnRenamed("key", "b").withColumnRenamed("packed", "pb"), "b")
-        return with_b.select("a", "b", "pa", "pb").mapInArrow(_proved, "a bigint, b bigint")
-
-    proved = stored(proved, "links")
-    labels = tried = None
-    for turn in range(PIVOTS + 1):
-        rows = lists.withColumn("component", F.col("key"))
-        if labels is not None:
-            rows = lists.join(labels.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-        if turn < PIVOTS:
-            # of each list, the first set of each component meets the pivot
-            at = F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), F.col("key").alias("key"), F.col("n").alias("n"))
-            pivot = rows.groupBy("shingle").agg(F.min(F.struct(at.alias("at"), "component")).alias("p"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-            met = rows.join(pivot, "shingle").where((F.col("component") != F.col("p.component")) & _sizes_fit(F.col("n"), F.col("p.at.n")))
-            pairs = met.select(*_ascending(F.col("key"), F.col("p.at.key"))).distinct()
-        else:
-            counts = rows.groupBy("shingle", "component").agg(F.count("*").alias("c"))
-            main = counts.groupBy("shingle").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("parts")).where("parts > 1").select("shingle", F.col("m.component").alias("main"))
-            rows = rows.join(main, "shingle")
-            out = rows.where("component <> main").select("shingle", F.col("key").alias("k"), F.col("n").alias("m"), F.col("component").alias("other"))
-            met = rows.join(out, "shingle").where((F.col("component") != F.col("other")) & ((F.col("component") == F.col("main")) | (F.col("key") < F.col("k"))) & _sizes_fit(F.col("n"), F.col("m")))
-            pairs = met.select(*_ascending(F.col("key"), F.col("k"))).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        new = stored(prove(pairs), "links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        proved = proved.unionByName(new)
-        if turn < PIVOTS:
-            labels = components(proved)
-    return proved
+    return subsets.join(least, ["subset", "size"]).where((F.col("key") != F.col("to.key")) & (need <= F.col("size"))).select(F.col("key").alias("a"), F.col("to.key").alias("b")).distinct()
+
+
+def candidates(docs: DataFrame, found: DataFrame, light: int) -> DataFrame:
+    """(key, shingles): the sets that are not mostly their own, by the counted shingles."""
+    listed = found.where(F.col("listed").isNotNull() & (100 * F.col("n_shingles") > THRESHOLD * light)).select("key", "listed").mapInArrow(_listed, "key bigint, shingle bigint")
+    listed = listed.repartition(width(docs.sparkSession), "shingle").dropDuplicates(["shingle", "key"])
+    shared = listed.withColumn("sets", F.count("*").over(Window.partitionBy("shingle"))).where("sets > 1")
+    by_key = shared.groupBy("key").agg(F.sum((F.col("shingle") < COUNTED).cast("int")).alias("shared"))
+    sizes = found.select("key", "n_shingles", "n_counted").distinct()
+    room = F.col("n_shingles") - F.ceil(F.lit(THRESHOLD) * F.col("n_shingles") / 100) + 1 > F.col("n_counted") - F.col("shared")
+    by_key = stored(by_key.join(sizes, "key").where(room).select("key"), "keys")
+    # a set's text is that of its first document; ids may repeat or be null, so the text tells its key again
+    first = found.join(by_key, "key").groupBy("key").agg(F.min("doc_id").alias("first")).select("first").distinct()
+    # most texts are left out before the shuffle, by a part of a hash of the id: SIEVE rows are broadcast at most
+    sieve = lambda c: F.pmod(F.xxhash64(c), F.lit(SIEVE)).alias("part")
+    parts = F.broadcast(first.select(sieve("first")).distinct())
+    some = docs.withColumn("part", sieve("doc_id")).join(parts, "part", "left_semi")
+    text = some.join(first, some["doc_id"].eqNullSafe(first["first"]), "left_semi").select("text")
+    return text.mapInArrow(_whole, "key bigint, shingles array<bigint>").dropDuplicates(["key"]).join(by_key, "key", "left_semi")
+
+
+def heavy_links(sets: DataFrame) -> DataFrame:
+    """(a, b): links between sets (key, shingles) that connect what links connect."""
+    lists = stored(postings(sets), "lists")
+    least = lists.groupBy("shingle").agg(F.min("key").alias("b"))
+    clusters = components(lists.join(least, "shingle").select(F.col("key").alias("a"), "b").distinct())
+    rows = sets.join(clusters, sets["key"] == clusters["id"]).select(F.col("component").alias("cluster"), "key", "shingles")
+    sizes = rows.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(F.size("shingles")).alias("m"))
+    sizes = sizes.withColumn("n_blocks", F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("m") / BLOCK_SHINGLES)).cast("int"))
+    rows = rows.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("key"), F.col("n_blocks")).cast("int"))
+    pivot = (F.col("n_blocks") > 1) & (F.pmod(F.xxhash64("key", F.lit(1)), F.col("n")) < PIVOTS)
+    units = rows.withColumn("block", F.explode(F.when(pivot, _spread(F.col("n_blocks"))).otherwise(F.array("block"))))
+    proved = stored(_scan(units.withColumn("unit", F.xxhash64("cluster", "block")).withColumn("side", F.lit(0))), "links")
+    large = rows.where("n_blocks > 1")
+    if large.isEmpty():
+        return proved
+    labels = components(proved)
+    large = large.join(labels.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    large = stored(large.select("cluster", "key", "shingles", "n_blocks", "block", "component"), "large")
+    counts = large.groupBy("cluster", "component").agg(F.count("*").alias("c"))
+    main = counts.groupBy("cluster").agg(F.max(F.struct("c", "component")).alias("main"), F.sum("c").alias("n")).select("cluster", F.col("main.component").alias("main"), F.ceil((F.col("n") - F.col("main.c")) / BLOCK_SETS).cast("int").alias("o_blocks")).where("o_blocks > 0")
+    large = large.join(main, "cluster").withColumn("o_block", F.pmod(F.xxhash64("key", F.lit(2)), F.col("o_blocks")).cast("int"))
+    outside = large.where("component <> main").select("cluster", "key", "shingles", "o_block", F.explode(_spread(F.col("n_blocks"))).alias("block"), F.lit(0).alias("side"))
+    inside = large.select("cluster", "key", "shingles", F.explode(_spread(F.col("o_blocks"))).alias("o_block"), "block", F.lit(1).alias("side"))
+    return proved.unionByName(stored(_scan(outside.unionByName(inside).withColumn("unit", F.xxhash64("cluster", "block", "o_block"))), "links"))
 
 
 def clustered(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, key, component_id."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    keys = stored(docs.mapInArrow(_keys, "doc_id bigint, n_shingles bigint, key bigint"), "keys")
-    labels = components(links(docs, keys))
+    found = stored(docs.mapInArrow(_sets, FOUND), "sets")
+    sizes = found.where(F.col("small").isNotNull()).groupBy("n_shingles").agg(F.count("*").alias("c"))
+    light = boundary({r["n_shingles"]: r["c"] for r in sizes.collect()})  # a row a size up to LARGEST_LIGHT
+    sets = stored(candidates(docs, found, light), "candidates")
+    labels = components(light_links(found, light).unionByName(heavy_links(sets)))
+    keys = found.select("doc_id", "n_shingles", "key")
     first = keys.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first"))
     named = first.join(labels.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
