@@ -197,8 +197,8 @@ def deduplicated(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     carry = [c for c in carry if c not in ("doc_id", "n_words", "n_removed", "kept")]
     n_shards = 4 * width(docs.sparkSession)
     ids = F.col("doc_id").cast("bigint")
-    rows = docs.select(F.pmod(F.xxhash64(ids), F.lit(n_shards)).cast("int").alias("shard"), ids.alias("doc_id"), F.col("text"), *[F.col(c) for c in carry if c != "text"])
-    shards = rows.groupBy("shard")
+    rows = docs.select(F.pmod(F.xxhash64(ids), F.lit(n_shards)).cast("int").alias("_shard"), ids.alias("doc_id"), F.col("text"), *[F.col(c) for c in carry if c != "text"])
+    shards = rows.groupBy("_shard")
 
     same_anchor, same_span = Window.partitionBy("anchor"), Window.partitionBy("anchor", "span")
     spans = shards.applyInArrow(_spans, SPANS).repartition(width(docs.sparkSession), "anchor")
