@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickvault.functions import book, decimalx, series, timeutil
-from tickvault.operators import align, deletes, filters, lww, ordered, shard, verify
+from tickvault.operators import align, deletes, filters, lww, ordered, report, shard, sink, verify
+from tickvault.sources import codecs, tsm, wal
+from tickvault.sources import text as text_sources
+from tickvault.streaming import lww as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -444,3 +451,104 @@ def line_protocol(spark, sf_dir):
     field = lambda n: F.col("p.fields")[n]["l"]
     return rows.select(field("id").alias("event_id"), F.col("p.tags")["user"].cast("bigint").alias("user_id"), "p.time_ns", field("k").alias("k"))
 
+
+
+@query(f"SELECT user_id, event_type AS field, time_ns, event_id FROM {SQL_HOURLY} WHERE time_ns >= {START + 3 * DAY} AND time_ns < {START + 17 * DAY} AND event_type IN ('click', 'view') AND NOT (user_id = 5 AND event_type = 'click' AND time_ns BETWEEN {START + 5 * DAY} AND {START + 8 * DAY})")
+def storage_roundtrip(spark, sf_dir):
+    """Each user's events become a storage file, which is read back with fields and times pruned and a tombstone applied."""
+
+    def encode(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        series: dict[bytes, list] = {}
+        for field in sorted(set(rows.column("event_type").to_pylist())):
+            own = rows.filter(pa.compute.equal(rows.column("event_type"), field)).sort_by([("time_ns", "ascending"), ("event_id", "ascending")])
+            times, ids = own.column("time_ns").to_pylist(), own.column("event_id").to_pylist()
+            series[f"ev,instId={key[0].as_py()}#!~#{field}".encode()] = [(codecs.INTEGER, times[k : k + 10], ids[k : k + 10]) for k in range(0, len(times), 10)]
+        return pa.table({"source_id": [f"u{key[0].as_py()}"], "shard_id": pa.array([1], pa.int32()), "generation": pa.array([1], pa.int32()), "sequence": pa.array([1], pa.int32()), "content": pa.array([tsm.write_tsm(series)], pa.binary())})
+
+    files = events(spark, sf_dir).select("user_id", "event_type", "time_ns", "event_id").groupBy("user_id").applyInArrow(encode, "source_id string, shard_id int, generation int, sequence int, content binary")
+    rows = tsm.decoded(files, fields=["click", "view"], start=START + 3 * DAY, end=START + 17 * DAY)
+    tombs = spark.createDataFrame([("u5", "ev,instId=5", "click", START + 5 * DAY, START + 8 * DAY)], "source_id string, series string, field string, min_time bigint, max_time bigint")
+    return deletes.without_tombstones(rows, tombs).select(F.col("inst_id").cast("bigint").alias("user_id"), "field", "time_ns", F.col("v_long").alias("event_id"))
+
+
+@query(
+    f"""SELECT user_id, hour_ns AS time_ns, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, hour_ns ORDER BY event_id DESC) AS n FROM {SQL_HOURLY} e WHERE event_type <> 'signup'
+        AND NOT EXISTS (SELECT 1 FROM {SQL_HOURLY} d WHERE d.event_type = 'signup' AND d.user_id = e.user_id AND d.event_id > e.event_id AND e.hour_ns BETWEEN d.hour_ns - {DAY} AND d.hour_ns)) WHERE n = 1"""
+)
+def wal_replay(spark, sf_dir):
+    """Each user's events become a log: a write each, but a signup deletes the day before it."""
+
+    def encode(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        name, out = f"ev,instId={key[0].as_py()}#!~#id".encode(), bytearray()
+        for r in rows.sort_by("event_id").to_pylist():
+            out += wal.delete_range_entry([name], r["hour_ns"] - DAY, r["hour_ns"]) if r["event_type"] == "signup" else wal.write_entry([(name, wal.INTEGER, [(r["hour_ns"], r["event_id"])])])
+        return pa.table({"shard_id": pa.array([key[0].as_py()], pa.int32()), "segment": pa.array([1], pa.int64()), "content": pa.array([bytes(out)], pa.binary())})
+
+    logs = hourly(events(spark, sf_dir)).select("user_id", "event_type", "hour_ns", "event_id").groupBy("user_id").applyInArrow(encode, "shard_id int, segment bigint, content binary")
+    return wal.replayed(wal.decoded(logs)).select(F.col("inst_id").cast("bigint").alias("user_id"), "time_ns", F.col("v_long").alias("event_id"))
+
+
+@query(f"SELECT time_ns AS time, CAST(user_id AS VARCHAR) AS instrument, value AS price, event_id AS id FROM {SQL_HOURLY}")
+def chunked_rows(spark, sf_dir):
+    """Events as chunked query results, ten rows a chunk, read back by column name."""
+    cell = F.array(F.col("time_ns").cast("string"), F.col("user_id").cast("string"), F.col("value").cast("string"), F.col("event_id").cast("string"))
+    chunks = events(spark, sf_dir).groupBy(F.floor(F.col("event_id") / 10)).agg(F.collect_list(cell).alias("values"))
+    one = F.struct(F.lit("ev").alias("name"), F.array(*[F.lit(c) for c in ("time", "instrument", "price", "id")]).alias("columns"), F.col("values"))
+    text = chunks.select(F.to_json(F.struct(F.array(F.struct(F.array(one).alias("series"))).alias("results"))).alias("value"))
+    return text_sources.chunk_rows(text, {"price": "float", "id": "integer"}, ["instrument"])
+
+
+@query("SELECT count(*) AS n, true AS small_parts, true AS all_indexed FROM events")
+def dataset_publish(spark, sf_dir):
+    """Publishes events as a dataset of small parts and reads its index and summary."""
+    to = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp()}/{uuid.uuid4().hex}/events.parquet"
+    sink.write(events(spark, sf_dir).select("time_ns", "user_id", "event_type", "value"), to, ["time_ns", "user_id"], rows_per_file=1500)
+    told = sink.describe(spark, to, "events", tags=["event_type"])
+    index = sink.part_index(spark, to)
+    return index.agg(F.sum("rows").alias("n"), (F.max("rows") <= 1500).alias("small_parts"), (F.sum("rows") == told["rows"]).alias("all_indexed"))
+
+
+@query("SELECT CAST(l_orderkey AS BIGINT) AS inst_id, l_linenumber AS time_ns FROM lineitem WHERE l_orderkey % 97 = 0 GROUP BY 1, 2")
+def merge_verify(spark, sf_dir):
+    """A merged table with changed values is compared with what its sources give."""
+    rows = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("inst_id"), F.lit("f").alias("field"), F.col("l_linenumber").cast("bigint").alias("time_ns"), F.col("l_partkey").alias("payload"), F.lit(1).alias("shard_id"), F.lit("tsm").alias("kind"), F.lit(1).alias("generation"), F.col("l_suppkey").alias("sequence"), F.col("l_extendedprice").cast("string").alias("source_id"), F.col("l_partkey").alias("pos"))
+    merged = lww.latest_points(rows).withColumn("payload", F.when(F.col("inst_id") % 97 == 0, -1).otherwise(F.col("payload")))
+    return verify.merge_faults(rows, merged).select("inst_id", F.col("time_ns").cast("int").alias("time_ns"))
+
+
+@query("SELECT l_orderkey AS inst_id, CASE WHEN l_orderkey % 101 = 0 THEN 'differ' END AS state FROM lineitem WHERE l_orderkey % 101 = 0 GROUP BY 1")
+def build_verify(spark, sf_dir):
+    """A built order book with changed checksums is compared with what its texts give."""
+    rows = sides(spark, sf_dir).select(F.col("l_orderkey").alias("inst_id"), F.lit(1).cast("bigint").alias("time_ns"), F.lit("update").alias("action"), F.col("payload").alias("asks"), F.lit("[]").alias("bids"), F.col("l_orderkey").alias("checksum"), F.lit("1700000000000").alias("ts"))
+    built = verify.book_rows(rows.withColumn("px_scale", F.lit(4)).withColumn("sz_scale", F.lit(4)))
+    return verify.build_faults(rows, built.withColumn("checksum", F.when(F.col("inst_id") % 101 == 0, -1).otherwise(F.col("checksum")))).select("inst_id", "state")
+
+
+@query(f"SELECT user_id, event_type, max(event_id) AS event_id FROM {SQL_HOURLY} GROUP BY 1, 2")
+def stream_lww(spark, sf_dir):
+    """The events table as a stream that ends with what is there."""
+    schema = read(spark, sf_dir, "events").schema
+    base = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp()}/{uuid.uuid4().hex}"
+    incoming = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).select("user_id", "event_type", "event_id")
+    keys, order = ["user_id", "event_type"], ["event_id"]
+    stream.start(incoming, f"{base}/out", keys, order, f"{base}/checkpoint").awaitTermination()
+    return stream.current(spark, f"{base}/out", keys, order).select("user_id", "event_type", "event_id")
+
+
+@query("SELECT p_brand AS measurement, count(*) AS datasets, count(*) FILTER (p_size % 3 = 0) AS completed, CAST(sum(p_partkey) AS BIGINT) AS actual FROM part GROUP BY 1")
+def report_rollup(spark, sf_dir):
+    p = read(spark, sf_dir, "part")
+    own = p.select(F.col("p_brand").alias("measurement"), F.col("p_name").alias("dataset"), F.when(F.col("p_size") % 3 == 0, "completed").otherwise("active").alias("status"), *[F.col("p_partkey").alias(c) for c in ("parts", "rows", "actual", "compressed", "uncompressed")])
+    return report.by_measurement(own).select("measurement", "datasets", "completed", "actual")
+
+
+@query("SELECT 'C' || o_custkey % 10 || '-' || upper(strftime(o_orderdate, '%b')) || strftime(o_orderdate, '%y') AS shard FROM orders GROUP BY 1")
+def contract_tasks(spark, sf_dir):
+    contract = F.concat(F.lit("C"), (F.col("o_custkey") % 10).cast("string"), F.lit("-"), F.date_format("o_orderdate", "ddMMMyy"), F.lit("-100-P"))
+    return shard.contract_tasks(read(spark, sf_dir, "orders").select(F.create_map(F.lit("instId"), contract).alias("tags")), "instId").select("shard")
+
+
+@query(f"SELECT 'ev' || user_id % 3 AS source_id, CAST(user_id AS VARCHAR) AS inst_id, event_type AS field, count(*) AS n, min(time_ns) AS min_time, max(time_ns) AS max_time FROM {SQL_HOURLY} GROUP BY 1, 2, 3")
+def source_manifest(spark, sf_dir):
+    e = events(spark, sf_dir)
+    return sink.manifest(e.select(F.concat(F.lit("ev"), (F.col("user_id") % 3).cast("string")).alias("source_id"), F.col("user_id").cast("string").alias("inst_id"), F.col("event_type").alias("field"), "time_ns"))

@@ -97,8 +97,13 @@ def index(spark: SparkSession, root: str) -> DataFrame:
 POINTS = f"source_id string, shard_id int, generation int, sequence int, key string, pos bigint, time_ns bigint, {VALUES}"
 
 
-def blocks(spark: SparkSession, root: str, fields: Sequence[str] | None = None, start: int | None = None, end: int | None = None, contains: str | None = None, verify: bool = True) -> DataFrame:
-    """Points of all files, before tombstones. fields, [start, end) and a text that the key must contain prune what is decoded."""
+def blocks(spark: SparkSession, root: str, **prune) -> DataFrame:
+    """Points of all files below root, before tombstones."""
+    return decoded(files(spark, root, "tsm"), **prune)
+
+
+def decoded(contents: DataFrame, fields: Sequence[str] | None = None, start: int | None = None, end: int | None = None, contains: str | None = None, verify: bool = True) -> DataFrame:
+    """Points of files (source_id, shard_id, generation, sequence, content). fields, [start, end) and a text that the key must contain prune what is decoded."""
     wanted = None if fields is None else {f.encode() for f in fields}
     needle = None if contains is None else contains.encode()
 
@@ -128,8 +133,7 @@ def blocks(spark: SparkSession, root: str, fields: Sequence[str] | None = None,
                         head = {"source_id": pa.array([source] * n), "shard_id": pa.array([shard] * n, pa.int32()), "generation": pa.array([gen] * n, pa.int32()), "sequence": pa.array([seq] * n, pa.int32()), "key": pa.array([key.decode("utf-8", "replace")] * n), "pos": pa.array(at, pa.int64()), "time_ns": pa.array(times[keep])}
                         yield pa.RecordBatch.from_pydict(head | columns_of(kind, values))
 
-    rows = files(spark, root, "tsm").select("source_id", "shard_id", "generation", "sequence", "content").mapInArrow(run, POINTS)
-    return named(rows)
+    return named(contents.select("source_id", "shard_id", "generation", "sequence", "content").mapInArrow(run, POINTS))
 
 
 def named(rows: DataFrame) -> DataFrame:

@@ -102,43 +102,66 @@ def log(spark: SparkSession, root: str) -> DataFrame:
     rows = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)), "path")
     rows = rows.select(F.regexp_extract("path", r"(\d+)/_\d+\.wal$", 1).try_cast("int").alias("shard_id"), wal_segment(F.col("path")).alias("segment"), "path")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = rows.where("segment is not null and shard_id is not null")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        schema = pa.schema([("shard_id", pa.int32()), ("segment", pa.int64()), ("seq", pa.int64()), ("pos", pa.int64()), ("key", pa.string()), ("deletes", pa.bool_()), ("min_time", pa.int64()), ("max_time", pa.int64()), ("time_ns", pa.int64()), *TYPES.items()])
         for batch in batches:
             for shard, segment, path in zip(*(c.to_pylist() for c in batch.columns)):
                 where, name = fs.FileSystem.from_uri(path)
                 with where.open_input_file(name) as f:
-                    data = f.read()
-                out = []
-                for number, (kind, payload) in enumerate(entries(data)):
-                    base = {"shard_id": shard, "segment": segment, "seq": segment * ENTRIES + number, "pos": 0, "deletes": kind != WRITE}
-                    if kind == WRITE:
-                        for key, (own, points) in values_of(payload).items():
-                            for k, (time, v) in enumerate(points):
-                                out.append(base | {"key": key.decode("utf-8", "replace"), "pos": k, "time_ns": time, COLUMNS[own]: Decimal(v) if own == UNSIGNED else v})
-                    elif kind == DELETE:
-                        out += [base | {"key": key.decode("utf-8", "replace")} for key in payload.split(b"\n")]
-                    elif kind == DELETE_RANGE:
-                        low, high = struct.unpack_from(">qq", payload)
-                        at = 16
-                        while at < len(payload):
-                            (n,) = struct.unpack_from(">I", payload, at)
-                            out.append(base | {"key": payload[at + 4 : at + 4 + n].decode("utf-8", "replace"), "min_time": low, "max_time": high})
-                            at += 4 + n
-                    if len(out) > 50_000:
-                        yield pa.RecordBatch.from_pylist(out, schema)
-                        out = []
-                if out:
-                    yield pa.RecordBatch.from_pylist(out, schema)
-
-    return rows.where("segment is not null and shard_id is not null").mapInArrow(run, LOG)
+                    yield from logged(shard, segment, f.read())
+
+    return rows.mapInArrow(read, LOG)
+
+
+SCHEMA = pa.schema([("shard_id", pa.int32()), ("segment", pa.int64()), ("seq", pa.int64()), ("pos", pa.int64()), ("key", pa.string()), ("deletes", pa.bool_()), ("min_time", pa.int64()), ("max_time", pa.int64()), ("time_ns", pa.int64()), *TYPES.items()])
+
+
+def logged(shard: int, segment: int, data: bytes) -> Iterator[pa.RecordBatch]:
+    """The rows of one segment."""
+    out = []
+    for number, (kind, payload) in enumerate(entries(data)):
+        base = {"shard_id": shard, "segment": segment, "seq": segment * ENTRIES + number, "pos": 0, "deletes": kind != WRITE}
+        if kind == WRITE:
+            for key, (own, points) in values_of(payload).items():
+                for k, (time, v) in enumerate(points):
+                    out.append(base | {"key": key.decode("utf-8", "replace"), "pos": k, "time_ns": time, COLUMNS[own]: Decimal(v) if own == UNSIGNED else v})
+        elif kind == DELETE:
+            out += [base | {"key": key.decode("utf-8", "replace")} for key in payload.split(b"\n")]
+        elif kind == DELETE_RANGE:
+            low, high = struct.unpack_from(">qq", payload)
+            at = 16
+            while at < len(payload):
+                (n,) = struct.unpack_from(">I", payload, at)
+                out.append(base | {"key": payload[at + 4 : at + 4 + n].decode("utf-8", "replace"), "min_time": low, "max_time": high})
+                at += 4 + n
+        if len(out) > 50_000:
+            yield pa.RecordBatch.from_pylist(out, SCHEMA)
+            out = []
+    if out:
+        yield pa.RecordBatch.from_pylist(out, SCHEMA)
+
+
+def decoded(contents: DataFrame) -> DataFrame:
+    """The rows of segments (shard_id, segment, content)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, segment, data in zip(*(c.to_pylist() for c in batch.columns)):
+                yield from logged(shard, segment, data)
+
+    return contents.select(F.col("shard_id").cast("int"), F.col("segment").cast("bigint"), "content").mapInArrow(run, LOG)
 
 
 def points(spark: SparkSession, root: str, fields=None, start: int | None = None, end: int | None = None) -> DataFrame:
     """What the logs leave: a point a (shard, key, time), with the columns of `tsm.points`."""
-    rows = log(spark, root)
+    return replayed(log(spark, root), fields, start, end)
+
+
+def replayed(rows: DataFrame, fields=None, start: int | None = None, end: int | None = None) -> DataFrame:
+    """Writes that no later entry deletes, the last of each time."""
     writes = rows.where("not deletes")
     kept = without_later_deletes(writes, rows.where("deletes").select("shard_id", "key", "seq", "min_time", "max_time"), ["shard_id", "key"])
     if start is not None:
