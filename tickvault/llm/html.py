@@ -33,9 +33,11 @@ FURNITURE = frozenset("nav footer aside form menu".split())
 #: Words of a class or id that mark furniture.
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored banner banners promo promos promotion cookie cookies consent gdpr notice notices alert popup modal overlay paywall subscribe subscription newsletter signup login sidebar sidebars "
-    "side aside rail menu menus nav navbar navigation breadcrumb breadcrumbs crumbs topbar masthead footer foot header comment comments commentlist disqus replies reply respond responses share sharing social related recommended recommendations "
+    "side aside rail menu menus nav navbar navigation breadcrumb breadcrumbs crumbs topbar masthead footer foot comment comments commentlist disqus replies reply respond responses share sharing social related recommended recommendations "
     "widget widgets pagination pager toolbar search searchform skip tags copyright legal disclaimer".split()
 )
+#: A header is one of the page, and furniture, unless its name tells of the article.
+OF_ARTICLE = frozenset("article post entry story content title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol p pre section summary table caption thead tbody tfoot tr td th ul".split()
@@ -52,8 +54,10 @@ THRESHOLD, MOST = 0.35, 0.9
 def hinted(attrs: list[tuple[str, str | None]]) -> bool:
     for name, value in attrs:
         value = value or ""
-        if name in ("class", "id", "role") and any(w.lower() in HINTS for w in WORD.findall(value)):
-            return True
+        if name in ("class", "id", "role"):
+            words = {w.lower() for w in WORD.findall(value)}
+            if words & HINTS or "header" in words and not words & OF_ARTICLE:
+                return True
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
     return False
