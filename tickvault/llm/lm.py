@@ -28,7 +28,7 @@ from tickvault.llm.tokens import slices
 
 MIN_COUNT = 2
 MAX_BITS = 1 << 28
-BITS_AN_ENTRY, PROBES = 10, 4
+BITS_AN_ENTRY, PROBES = 16, 4
 L, K = 0.3, 20.0
 #: Tokens that a task gathers before it sends their distinct bigrams on.
 GATHER = 1_500_000
