@@ -5,11 +5,13 @@ their quantised count; the filter is broadcast, and a count is read back by prob
 missing. The filter is cut into slices by bigram hash, so each task builds slices of its own and nothing is merged. Its
 size follows the number of entries up to MAX_BITS, which bounds what is broadcast.
 
-    P(w | p) = (1 - l) * P1(w) + l * min(1, c(p, w) / c(p)),   l = L * c(p) / (c(p) + K)
+    P(w | p) = (1 - l) * P1(w) + l * min(1, c(p, w) / c(p)),   l = t * L * c(p) / (c(p) + K)
     P1(w)    = (c(w) + 1) / (N + V + 1)
 
-Quantised counts are rounded down, so the probabilities of a context add up to one at most, but for false positives.
-Single words are counted exactly: each shard of documents tells the distinct words it has and gets their counts back.
+t is one less the rate of false positives of the bigram's slice, from the share of its bits that are set: a filter that
+is too small for its corpus falls back on single words, smoothly. Quantised counts are rounded down, so the
+probabilities of a context add up to one at most, but for false positives. Single words are counted exactly: each shard
+of documents tells the distinct words it has and gets their counts back.
 
 Defined results: a null text is empty and has its end token only; rows with null ids are training documents; repeated
 rows count each; columns other than doc_id and text are not passed on.
@@ -108,6 +110,8 @@ class Filter:
         self.bits = sizes * np.uint64(8)
         self.begin = (np.concatenate([[0], np.cumsum(sizes)[:-1]]) * 8).astype("u8")
         self.data = np.frombuffer(b"".join(parts.get(k, b"\0" * 8) for k in range(1 << log_slices)), "u1")
+        filled = np.add.reduceat(np.bitwise_count(self.data).astype("u8"), (self.begin // np.uint64(8)).astype("i8")) / self.bits
+        self.sound = 1 - filled**PROBES
 
     @staticmethod
     def key(h, log_slices: int):
@@ -115,6 +119,12 @@ class Filter:
 
         return (h >> np.uint64(32 - log_slices)) & np.uint64(0xFFFFFFFF)
 
+    def trust(self, h):
+        """How likely a bigram that is not in the filter is known to be missing: less where a slice is full."""
+        import numpy as np
+
+        return self.sound[h >> np.uint64(64 - self.log)]
+
     def counts(self, h):
         """Counts of bigrams by hash; 0 where the first level is missing."""
         import numpy as np
@@ -234,6 +244,7 @@ def _scored(model, n_train: int, n_distinct: int):
         pair = np.zeros(len(c))
         pair[at] = np.minimum(1.0, model.value.counts(h[at]) / before[at])
         share = L * before / (before + K)
+        share[at] *= model.value.trust(h[at])
         p = (1 - share) * single + share * pair
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else np.empty(0, "i8")
         add = lambda x: np.add.reduceat(x, first) if len(first) else np.empty(0)
