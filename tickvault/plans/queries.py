@@ -187,11 +187,12 @@ _ODD = "CASE o_orderkey % 6 WHEN 0 THEN '1e3' WHEN 1 THEN ' 1 ' WHEN 2 THEN '.'
 
 @query(
     f"""WITH t AS (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS p, {_ODD.format(s="VARCHAR")} AS txt FROM orders)
-        SELECT o_orderkey, txt, CASE o_orderkey % 6 WHEN 3 THEN CAST(-p * 100 AS BIGINT) WHEN 4 THEN NULL WHEN 5 THEN CAST(p * 100 AS BIGINT) END AS scaled FROM t"""
+        SELECT o_orderkey, txt, o_orderkey % 6 IN (3, 5) AS fits, CASE o_orderkey % 6 WHEN 3 THEN CAST(-p * 100 AS BIGINT) WHEN 5 THEN CAST(p * 100 AS BIGINT) ELSE 0 END AS scaled FROM t"""
 )
 def scaled_int(spark, sf_dir):
     o = read(spark, sf_dir, "orders").withColumn("txt", F.expr(_ODD.format(s="STRING")))
-    return o.select("o_orderkey", "txt", decimalx.scaled_int(F.col("txt"), 2).alias("scaled"))
+    scaled = decimalx.scaled_int(F.col("txt"), 2)
+    return o.select("o_orderkey", "txt", scaled.isNotNull().alias("fits"), F.coalesce(scaled, F.lit(0)).alias("scaled"))
 
 
 def sides(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,13 +309,13 @@ def field_counts(spark, sf_dir):
 
 
 @query(
-    """SELECT coalesce(o.k, l.k) AS key, CASE WHEN l.k IS NULL THEN 'old_only' WHEN o.k IS NULL THEN 'new_only' WHEN o.n IS DISTINCT FROM l.n THEN 'differ' ELSE 'same' END AS state, o.n AS old_n, l.n AS new_n
+    """SELECT coalesce(o.k, l.k) AS key, CASE WHEN l.k IS NULL THEN 'old_only' WHEN o.k IS NULL THEN 'new_only' WHEN o.n IS DISTINCT FROM l.n THEN 'differ' ELSE 'same' END AS state, coalesce(o.n, -1) AS old_n, coalesce(l.n, -1) AS new_n
        FROM (SELECT o_orderkey AS k, count(*) AS n FROM orders GROUP BY 1) o FULL JOIN (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1) l ON o.k = l.k"""
 )
 def manifest_diff(spark, sf_dir):
     old = read(spark, sf_dir, "orders").groupBy(F.col("o_orderkey").alias("key")).agg(F.count("*").alias("n"))
     new = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("key")).agg(F.count("*").alias("n"))
-    return verify.manifest_diff(old, new, ["key"], ["n"])
+    return verify.manifest_diff(old, new, ["key"], ["n"]).fillna(-1, ["old_n", "new_n"])
 
 
 @query(
