@@ -46,8 +46,8 @@ def test_names(spark):
 
 
 def test_line_protocol(spark):
-    lines = ['noise-prefix okex_depth,instId=BTC-USDT-SWAP asks="[[\\"1\\", \\"2\\"]]" 123\r\n', 'okex_depth,channel=books,instId=BTC-USDT-SWAP asks="[[\\"1\\", \\"2\\"]]",checksum=42i 123', "okex_depth,instId=x a=1", "other,a=1 b=2 3", 'okex_depth,instId=x a="q,w e",b=t -5']
-    got = column(spark, lambda c: series.lp_line(c, "okex_depth"), *lines)
+    lines = ['noise-prefix depth_feed,instId=BTC-USDT-SWAP asks="[[\\"1\\", \\"2\\"]]" 123\r\n', 'depth_feed,channel=books,instId=BTC-USDT-SWAP asks="[[\\"1\\", \\"2\\"]]",checksum=42i 123', "depth_feed,instId=x a=1", "other,a=1 b=2 3", 'depth_feed,instId=x a="q,w e",b=t -5']
+    got = column(spark, lambda c: series.lp_line(c, "depth_feed"), *lines)
     assert got[2] is None and got[3] is None
     assert got[0].fields["asks"].s == '[["1", "2"]]' and got[0].time_ns == 123 and got[0].tags == {"instId": "BTC-USDT-SWAP"}
     assert got[1].fields["checksum"].l == 42

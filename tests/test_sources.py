@@ -47,7 +47,7 @@ def test_other_blocks():
 
 
 def key(inst, field):
-    return f"okex_depth,instId={inst}#!~#{field}".encode()
+    return f"depth_feed,instId={inst}#!~#{field}".encode()
 
 
 @pytest.fixture
@@ -109,8 +109,8 @@ def test_spools(spark, tmp_path):
 
 
 def test_line_protocol_file(spark, tmp_path):
-    (tmp_path / "x.lp").write_text("okex_depth,instId=A a=1i,b=t 5\nnoise\n")
-    assert {(r.inst_id, r.field, r.v_long, r.v_bool) for r in text.line_protocol(spark, str(tmp_path / "x.lp"), "okex_depth").collect()} == {("A", "a", 1, None), ("A", "b", None, True)}
+    (tmp_path / "x.lp").write_text("depth_feed,instId=A a=1i,b=t 5\nnoise\n")
+    assert {(r.inst_id, r.field, r.v_long, r.v_bool) for r in text.line_protocol(spark, str(tmp_path / "x.lp"), "depth_feed").collect()} == {("A", "a", 1, None), ("A", "b", None, True)}
 
 
 def chunk(inst, values):
