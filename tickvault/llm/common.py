@@ -12,6 +12,28 @@ from pyspark.sql import functions as F
 SEPARATORS = "[\\x20\\x09-\\x0D]+"
 
 
+class Digests(dict):
+    """64-bit hashes of words, each computed when it is first met; a worker keeps one, up to a size."""
+
+    MOST = 200_000
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+    def of(self, words: list[bytes]):
+        import numpy as np
+
+        if len(self) > self.MOST:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), "u8", len(words))
+
+
+DIGESTS = Digests()
+
+
 #: Bytes that a writer of an intermediate table holds before it writes them.
 ROW_GROUP = 16 << 20
 

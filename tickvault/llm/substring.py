@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickvault.llm.common import table, width
+from tickvault.llm.common import DIGESTS, table, width
 
 WINDOW, ANCHOR = 20, 8
 ROW = 1 << 32
@@ -54,18 +54,12 @@ class Shard:
 
     def hashed(self) -> None:
         import numpy as np
-        import xxhash
 
         self.sizes = np.array([len(w) for w in self.words], "i8")
         self.begin = np.concatenate([[0], np.cumsum(self.sizes)])
-        digest = xxhash.xxh3_64_intdigest
-        own: dict[bytes, int] = {}
         values = np.empty(int(self.begin[-1]), "u8")
         for k, words in enumerate(self.words):
-            for w in words:
-                if w not in own:
-                    own[w] = digest(w)
-            values[self.begin[k] : self.begin[k + 1]] = np.fromiter(map(own.__getitem__, words), "u8", len(words))
+            values[self.begin[k] : self.begin[k + 1]] = DIGESTS.of(words)
         n = len(values)
         power = np.full(n + 1, BASE, "u8")
         power[0] = 1
@@ -204,12 +198,12 @@ def deduplicated(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     spans = shards.applyInArrow(_spans, SPANS).repartition(width(docs.sparkSession), "anchor")
     spans = spans.select("*", F.sum("n").over(same_span).alias("n_same"), *_first(same_span.orderBy("doc", "at")))
     spans = spans.select("*", F.sum("n").over(same_anchor).alias("n_anchor"), (F.min("span").over(same_anchor) != F.max("span").over(same_anchor)).alias("differ")).where("n_anchor > 1")
-    passages = spans.where("n_same > 1").select("shard", "doc", "at", (F.col("n_windows") + WINDOW - 1).alias("n_words"), "first_doc", "first_at")
+    passages = spans.where("n_same > 1").where(LATER).select("shard", "doc", "at", (F.col("n_windows") + WINDOW - 1).alias("n_words"), "first_doc", "first_at")
     asked = spans.where("differ and doc = first_doc and at = first_at").select("shard", "doc", "at", "n_windows")
 
     same_phrase = Window.partitionBy("phrase")
     phrases = shards.cogroup(asked.groupBy("shard")).applyInArrow(_windows, WINDOWS)
-    phrases = phrases.select("*", F.sum("n").over(same_phrase).alias("n_same"), *_first(same_phrase.orderBy("doc", "at"))).where("n_same > 1")
+    phrases = phrases.select("*", F.sum("n").over(same_phrase).alias("n_same"), *_first(same_phrase.orderBy("doc", "at"))).where("n_same > 1").where(LATER)
     passages = passages.unionByName(phrases.select("shard", "doc", "at", F.lit(WINDOW).alias("n_words"), "first_doc", "first_at"))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*carry).schema.fields)
@@ -217,6 +211,10 @@ def deduplicated(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return shards.cogroup(passages.groupBy("shard")).applyInArrow(_cut(carry), schema)
 
 
+#: A shard that has a passage at its first place only has nothing to cut for it.
+LATER = "not (n = 1 and doc = first_doc and at = first_at)"
+
+
 def _first(w):
     return F.first("doc").over(w).alias("first_doc"), F.first("at").over(w).alias("first_at")
 
