@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickvault.llm.common import table, width
+from tickvault.llm.common import DIGESTS, table, width
 from tickvault.llm.tokens import slices
 
 MIN_COUNT = 2
@@ -41,18 +41,12 @@ MIX, STEP = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 def tokens(texts: list[str | None]):
     """(hashes of the tokens of all texts in turn, each text's end included; number of tokens of each)."""
     import numpy as np
-    import xxhash
 
-    digest = xxhash.xxh3_64_intdigest
-    own: dict[bytes, int] = {}
-    out, sizes = [], []
+    out, sizes, end = [], [], np.array([END], "u8")
     for text in texts:
         words = (text or "").encode().lower().split()
-        for w in words:
-            if w not in own:
-                own[w] = digest(w)
-        out.append(np.fromiter(map(own.__getitem__, words), "u8", len(words)))
-        out.append(np.array([END], "u8"))
+        out.append(DIGESTS.of(words))
+        out.append(end)
         sizes.append(len(words) + 1)
     return (np.concatenate(out) if out else np.empty(0, "u8")), np.array(sizes, "i8")
 
