@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickvault.llm.common import stored, table, width
+from tickvault.llm.common import DIGESTS, stored, table, width
 from tickvault.llm.graph import components
 from tickvault.llm.tokens import slices
 
@@ -84,20 +84,16 @@ def shingle_sets(texts: list[str | None]) -> list:
     import xxhash
 
     digest = xxhash.xxh3_64_intdigest
-    own: dict[bytes, int] = {}
     out = []
     for text in texts:
         words = (text or "").encode().lower().split()
         if not words:
             out.append(np.empty(0, "i8"))
             continue
-        for w in words:
-            if w not in own:
-                own[w] = digest(w)
         if len(words) < SHINGLE:
             out.append(np.array([digest(b" ".join(words), len(words))], "u8").view("i8"))
             continue
-        v = np.fromiter(map(own.__getitem__, words), "u8", len(words))
+        v = DIGESTS.of(words)
         h = np.zeros(len(v) - SHINGLE + 1, "u8")
         for k in range(SHINGLE):
             h = (h ^ v[k : k + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
