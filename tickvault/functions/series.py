@@ -128,21 +128,27 @@ def lp_line(line: Column, measurement: str) -> Column:
     """struct<tags, fields, time_ns> of a line, with any noise before the measurement left out; null where there is no such line.
 
     The head ends at the first space and the time begins after the last one that no quotes hold and no backslash precedes."""
-    text = F.regexp_replace(line, r"[\r\n]+$", "")
-    start = F.instr(text, measurement + ",")
-    text = F.substring(text, start, F.length(text))
     token = r'(?:[^\\" ]|\\.|"(?:[^\\"]|\\.)*+")*+'
-    whole = rf"(?s)^({token}) ((?:{token} )*+)".replace("*+)$", "*)$")
-    head = F.regexp_extract(text, whole, 1)
-    middle = F.regexp_extract(text, whole, 2)
-    time = F.substring(text, F.length(head) + F.length(middle) + 2, F.length(text))
-    raw = F.regexp_extract_all(F.concat(F.lit(","), F.rtrim(middle)), F.lit(r'(?s),((?:[^\\",]|\\.|"(?:[^\\"]|\\.)*+")*+)'), F.lit(1))
-    pairs = F.filter(F.transform(raw, lambda r: split_first_escaped(r, "=")), lambda p: (p["head"] != "") & (p["tail"] != ""))
-    fields = _map(F.transform(pairs, lambda p: F.struct(p["head"].alias("key"), lp_value(p["tail"]).alias("value"))))
-    whole_line = (start > 0) & (middle != "") & time.rlike(r"^\s*[+-]?\d+\s*$")
-
-    def made(parts: Column) -> Column:
-        key, found = parts["k"], parts["f"]
-        return F.when((key["measurement"] == measurement) & (F.size(found) > 0), F.struct(key["tags"].alias("tags"), found.alias("fields"), F.trim(time).try_cast("bigint").alias("time_ns")))
-
-    return F.when(whole_line, let(F.struct(parse_series_key(head).alias("k"), fields.alias("f")), made))
+    whole = rf"(?s)^({token}) ((?:{token} )*)"
+    clean = F.regexp_replace(line, r"[\r\n]+$", "")
+    start = F.instr(clean, measurement + ",")
+
+    def fields_of(middle: Column) -> Column:
+        raw = F.regexp_extract_all(F.concat(F.lit(","), F.rtrim(middle)), F.lit(r'(?s),((?:[^\\",]|\\.|"(?:[^\\"]|\\.)*+")*+)'), F.lit(1))
+        pairs = F.filter(F.transform(raw, lambda r: split_first_escaped(r, "=")), lambda p: (p["head"] != "") & (p["tail"] != ""))
+        return _map(F.transform(pairs, lambda p: F.struct(p["head"].alias("key"), lp_value(p["tail"]).alias("value"))))
+
+    def cut(text: Column) -> Column:
+        return F.struct(F.regexp_extract(text, whole, 1).alias("head"), F.regexp_extract(text, whole, 2).alias("middle"), text.alias("text"))
+
+    def timed(c: Column) -> Column:
+        time = F.substring(c["text"], F.length(c["head"]) + F.length(c["middle"]) + 2, F.length(c["text"]))
+        good = (c["middle"] != "") & time.rlike(r"^\s*[+-]?\d+\s*$")
+        return F.when(good, F.struct(parse_series_key(c["head"]).alias("k"), fields_of(c["middle"]).alias("f"), F.trim(time).try_cast("bigint").alias("t")))
+
+    def made(c: Column) -> Column:
+        right = (c["k"]["measurement"] == measurement) & (F.size(c["f"]) > 0)
+        return F.when(right, F.struct(c["k"]["tags"].alias("tags"), c["f"].alias("fields"), c["t"].alias("time_ns")))
+
+    text = F.when(start > 0, F.substring(clean, start, F.length(clean)))
+    return let(text, lambda t: let(cut(t), lambda c: let(timed(c), made)))
