@@ -254,6 +254,20 @@ def test_lm_filter():
     assert (model.counts(np.array([rng.getrandbits(64) for _ in range(3000)], "u8")) > 0).mean() < 0.03
 
 
+def test_lm_filter_grows_with_its_entries():
+    """A slice of many bigrams tells them as well as one of few."""
+    import pyarrow as pa
+
+    n = 500_000
+    keys = np.unique(np.random.default_rng(5).integers(0, 1 << 32, n, dtype="u8")).astype("<u4")
+    table = pa.table({"keys": [keys.tobytes()], "few": [np.full(len(keys), 2, "u1").tobytes()], "many": [b""], "words": [b""], "n": [0]})
+    data = lm._sliced(8, lm.MAX_BITS)((pa.scalar(0),), table).column("data")[0].as_py()
+    assert 8 * len(data) >= lm.BITS_AN_ENTRY * len(keys)
+    model = lm.Filter(8, {0: data})
+    others = np.random.default_rng(6).integers(0, 1 << 56, 20_000, dtype="u8")
+    assert (model.counts(others) > 0).mean() < 0.03 and (model.trust(others) > 0.97).all()
+
+
 def test_id_files(spark, sf, rows, ids):
     at = 0
     got = {r.doc_id: r for r in QUERIES["op9_id_files"](spark, sf).collect()}

@@ -1,17 +1,16 @@
 """LM scoring with a log-frequency Bloom filter.
 
 Bigrams that occur MIN_COUNT times or more in the training documents go into a Bloom filter, once for each level of
-their quantised count; the filter is broadcast, and a count is read back by probing level after level until one is
-missing. The filter is cut into slices by bigram hash, so each task builds slices of its own and nothing is merged. Its
-size follows the number of entries up to MAX_BITS, which bounds what is broadcast.
+their quantised count; a count is read back by probing level after level until one is missing. The filter is cut into
+slices by bigram hash, each sized by its entries, whatever the corpus. No process ever holds the whole filter: each
+shard of documents sends its distinct bigrams to their slices, and the task that builds a slice sends their levels back.
 
     P(w | p) = (1 - l) * P1(w) + l * min(1, c(p, w) / c(p)),   l = t * L * c(p) / (c(p) + K)
     P1(w)    = (c(w) + 1) / (N + V + 1)
 
-t is one less the rate of false positives of the bigram's slice, from the share of its bits that are set: a filter that
-is too small for its corpus falls back on single words, smoothly. Quantised counts are rounded down, so the
-probabilities of a context add up to one at most, but for false positives. Single words are counted exactly: each shard
-of documents tells the distinct words it has and gets their counts back.
+t is one less the rate of false positives of the bigram's slice, from the share of its bits that are set. Quantised
+counts are rounded down, so the probabilities of a context add up to one at most, but for false positives. Single words
+are counted exactly, in the same exchange.
 
 Defined results: a null text is empty and has its end token only; rows with null ids are training documents; repeated
 rows count each; columns other than doc_id and text are not passed on.
@@ -19,21 +18,17 @@ rows count each; columns other than doc_id and text are not passed on.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickvault.llm.common import DIGESTS, table, width
-from tickvault.llm.tokens import slices
+from tickvault.llm.common import DIGESTS, stored, table, width
 
 MIN_COUNT = 2
-MAX_BITS = 1 << 28
+#: Bound of the whole filter; there is none, so a filter's rate of false positives is the same at any size of the corpus.
+MAX_BITS = None
 BITS_AN_ENTRY, PROBES = 16, 4
 L, K = 0.3, 20.0
-#: Tokens that a task gathers before it sends their distinct bigrams on.
-GATHER = 1_500_000
 END = 0x5EED0F7E47E4D000
 MIX, STEP = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
@@ -123,6 +118,13 @@ class Filter:
         """Counts of bigrams by hash; 0 where the first level is missing."""
         import numpy as np
 
+        found = self.levels(h)
+        return np.where(found > 0, count_of(found), 0.0)
+
+    def levels(self, h):
+        """Levels of bigrams by hash, from 1; 0 where the first is missing."""
+        import numpy as np
+
         slot = h >> np.uint64(64 - self.log)
         keys, bits, begin = self.key(h, self.log), self.bits[slot], self.begin[slot]
         found, alive, which = np.zeros(len(h), "i8"), np.arange(len(h)), 0
@@ -134,111 +136,155 @@ class Filter:
             found[alive] = which
             if which >= 128:
                 break
-        return np.where(found > 0, count_of(found), 0.0)
+        return found
+
+
+def _packed(counts, kind: str) -> tuple[bytes, bytes]:
+    """Counts in a byte each, and those that do not fit beside."""
+    import numpy as np
+
+    return np.minimum(counts, 255).astype("u1").tobytes(), counts[counts >= 255].astype(kind).tobytes()
 
 
-def _gathered(log_slices: int):
-    """(slice, pairs, words): distinct bigrams of a block of training documents as 32-bit keys and counts, and distinct words."""
+def _unpacked(few: bytes, many: bytes, kind: str):
+    import numpy as np
+
+    c = np.frombuffer(few, "u1").astype("i8")
+    c[c == 255] = np.frombuffer(many, kind)
+    return c
+
+
+def _distinct(values, train):
+    """Distinct values in order, where each value is among them, and how often training documents have them."""
+    import numpy as np
 
-    def send(values, sizes) -> Iterator[pa.RecordBatch]:
+    distinct, at = np.unique(values, return_inverse=True)
+    return distinct, at, np.bincount(at[train], minlength=len(distinct))
+
+
+def _asked(log_slices: int):
+    """Distinct bigrams of a shard of documents as 32-bit keys, and distinct words, by slice, each with its number in the shard's training documents."""
+
+    def run(key: tuple[pa.Scalar, ...], docs: pa.Table) -> pa.Table:
         import numpy as np
 
+        values, sizes = tokens(docs.column("text").to_pylist())
+        train = np.repeat(~np.array(docs.column("held_out").to_pylist(), bool), sizes)
         h, inside = bigrams(values, sizes)
-        grams, counts = np.unique(h[inside], return_counts=True)
-        words = np.unique(values)
+        grams, _, counts = _distinct(h[inside], train[inside])
+        words, _, counts_w = _distinct(values, train)
         shift = np.uint64(64 - log_slices)
         edges = np.arange((1 << log_slices) + 1)
         cut, cut_w = np.searchsorted(grams >> shift, edges), np.searchsorted(words >> shift, edges)
-        keys, counts = Filter.key(grams, log_slices).astype("<u4"), np.minimum(counts, (1 << 32) - 1)
+        keys, n = Filter.key(grams, log_slices).astype("<u4"), int(train.sum())
         rows = []
         for k in range(1 << log_slices):
-            c = counts[cut[k] : cut[k + 1]]
-            few = np.minimum(c, 255).astype("u1")
-            rows.append((k, keys[cut[k] : cut[k + 1]].tobytes(), few.tobytes(), c[c >= 255].astype("<u4").tobytes(), words[cut_w[k] : cut_w[k + 1]].tobytes(), 0 if k else len(values)))
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4, pa.int64()))], ["slice", "keys", "few", "many", "words", "n"])
+            own, own_w = slice(cut[k], cut[k + 1]), slice(cut_w[k], cut_w[k + 1])
+            if cut[k] < cut[k + 1] or cut_w[k] < cut_w[k + 1]:
+                rows.append((k, key[0].as_py(), keys[own].tobytes(), *_packed(counts[own], "<u4"), words[own_w].tobytes(), *_packed(counts_w[own_w], "<u4"), 0 if rows else n))
+        return pa.table([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int32(), *[pa.binary()] * 6, pa.int64()))], ["slice", "shard", "keys", "few", "many", "words", "few_w", "many_w", "n"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
+    return run
 
-        values, sizes, n = [], [], 0
-        for batch in slices(batches, 500):
-            v, s = tokens(batch.column(0).to_pylist())
-            values.append(v)
-            sizes.append(s)
-            n += len(v)
-            if n >= GATHER:
-                yield from send(np.concatenate(values), np.concatenate(sizes))
-                values, sizes, n = [], [], 0
-        if n:
-            yield from send(np.concatenate(values), np.concatenate(sizes))
 
-    return run
+ASKED = "slice int, shard int, keys binary, few binary, many binary, words binary, few_w binary, many_w binary, n bigint"
 
 
-def _sliced(log_slices: int, max_bits: int):
-    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        import numpy as np
+def _totals(rows: pa.Table, kind: str, values: str, few: str, many: str):
+    """Distinct values of all rows, where each value is among them, and their counts added up."""
+    import numpy as np
 
-        keys, counts = [], []
-        for k, few, many in zip(*(rows.column(c).to_pylist() for c in ("keys", "few", "many"))):
-            c = np.frombuffer(few, "u1").astype("i8")
-            c[c == 255] = np.frombuffer(many, "<u4")
-            keys.append(np.frombuffer(k, "<u4"))
-            counts.append(c)
-        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(at, np.concatenate(counts), len(distinct)).astype("i8")
-        words = np.unique(np.concatenate([np.frombuffer(w, "u8") for w in rows.column("words").to_pylist()]))
-        kept = total >= MIN_COUNT
-        grams, levels = distinct[kept].astype("u8"), level(total[kept])
-        want = max(64, int(levels.sum()) * BITS_AN_ENTRY)
-        bits = min(1 << (want - 1).bit_length(), max(64, max_bits >> log_slices))
-        data = np.zeros(bits, bool)
-        for which in range(1, int(levels.max(initial=0)) + 1):
-            here = grams[levels >= which]
-            for probe in range(PROBES):
-                data[_at(here, which, probe, np.full(len(here), bits, "u8"))] = True
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "data": pa.array([np.packbits(data, bitorder="little").tobytes()], pa.binary()), "words": pa.array([len(words)], pa.int64()), "n": pa.array(np.array([sum(rows.column("n").to_pylist())], "i8")), "entries": pa.array([int(levels.sum())], pa.int64())})
+    found = [np.frombuffer(v, kind) for v in rows.column(values).to_pylist()]
+    counts = [_unpacked(f, m, "<u4") for f, m in zip(rows.column(few).to_pylist(), rows.column(many).to_pylist())]
+    distinct, at = np.unique(np.concatenate(found), return_inverse=True)
+    return distinct, at, np.bincount(at, np.concatenate(counts), len(distinct)).astype("i8")
+
+
+def _filled(distinct, total, log_slices: int, max_bits: int | None) -> bytes:
+    """The filter of a slice, sized by its entries."""
+    import numpy as np
+
+    kept = total >= MIN_COUNT
+    grams, levels = distinct[kept].astype("u8"), level(total[kept])
+    want = max(64, int(levels.sum()) * BITS_AN_ENTRY)
+    bits = 1 << (want - 1).bit_length()
+    if max_bits is not None:
+        bits = min(bits, max(64, max_bits >> log_slices))
+    data = np.zeros(bits, bool)
+    for which in range(1, int(levels.max(initial=0)) + 1):
+        here = grams[levels >= which]
+        for probe in range(PROBES):
+            data[_at(here, which, probe, np.full(len(here), bits, "u8"))] = True
+    return np.packbits(data, bitorder="little").tobytes()
+
+
+def _sliced(log_slices: int, max_bits: int | None = MAX_BITS):
+    """The filter of a slice alone, for who wants to keep it."""
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        distinct, _, total = _totals(rows, "<u4", "keys", "few", "many")
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "data": pa.array([_filled(distinct, total, log_slices, max_bits)], pa.binary())})
 
     return run
 
 
-def trained(docs: DataFrame, max_bits: int = MAX_BITS) -> tuple[Filter, int, int]:
-    """The filter, the number of tokens and that of distinct tokens of (text) rows. What comes to the driver is bounded by max_bits."""
-    log_slices = max(8, (4 * width(docs.sparkSession) - 1).bit_length())
-    rows = docs.select("text").mapInArrow(_gathered(log_slices), "slice int, keys binary, few binary, many binary, words binary, n bigint")
-    parts = rows.groupBy("slice").applyInArrow(_sliced(log_slices, max_bits), "slice int, data binary, words bigint, n bigint, entries bigint").collect()
-    return Filter(log_slices, {r["slice"]: bytes(r["data"]) for r in parts}), sum(r["n"] for r in parts), sum(r["words"] for r in parts)
+def _answered(log_slices: int):
+    """For each shard that asks a slice: levels of its bigrams by the slice's filter and counts of its words, in the order in which they came."""
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        import numpy as np
 
+        k = key[0].as_py()
+        distinct, at, total = _totals(rows, "<u4", "keys", "few", "many")
+        model = Filter(log_slices, {k: _filled(distinct, total, log_slices, MAX_BITS)})
+        h = (np.uint64(k) << np.uint64(64 - log_slices)) | (distinct.astype("u8") << np.uint64(32 - log_slices))
+        levels = model.levels(h).astype("u1")[at]
+        _, at_w, total_w = _totals(rows, "<u8", "words", "few_w", "many_w")
+        n_words = int((total_w > 0).sum())
+        counts = total_w[at_w]
+        ends = np.cumsum([len(b) // 4 for b in rows.column("keys").to_pylist()])[:-1]
+        ends_w = np.cumsum([len(b) // 8 for b in rows.column("words").to_pylist()])[:-1]
+        few, many = zip(*(_packed(c, "<u8") for c in np.split(counts, ends_w)))
+        first = np.arange(rows.num_rows) == 0
+        columns = {
+            "slice": pa.array(np.full(rows.num_rows, k, "i4")),
+            "shard": rows.column("shard"),
+            "levels": pa.array([x.tobytes() for x in np.split(levels, ends)], pa.binary()),
+            "few": pa.array(few, pa.binary()),
+            "many": pa.array(many, pa.binary()),
+            "sound": pa.array(np.full(rows.num_rows, model.sound[k])),
+            "words": pa.array(np.where(first, n_words, 0).astype("i8")),
+            "n": rows.column("n"),
+        }
+        return pa.table(columns)
+
+    return run
 
-def _words(key: tuple[pa.Scalar, ...], docs: pa.Table) -> pa.Table:
-    """(word, shard, c): distinct words of a shard, with their number in its training documents."""
-    import numpy as np
 
-    values, sizes = tokens(docs.column("text").to_pylist())
-    words, at = np.unique(values, return_inverse=True)
-    train = ~np.array(docs.column("held_out").to_pylist(), bool)
-    c = np.bincount(at[np.repeat(train, sizes)], minlength=len(words)).astype("i8")
-    return pa.table({"word": pa.array(words.view("i8")), "shard": pa.array(np.full(len(words), key[0].as_py(), "i4")), "c": pa.array(c)})
+ANSWERED = "slice int, shard int, levels binary, few binary, many binary, sound double, words bigint, n bigint"
 
 
-def _scored(model, n_train: int, n_distinct: int):
-    def run(key: tuple[pa.Scalar, ...], docs: pa.Table, counts: pa.Table) -> pa.Table:
+def _scored(n_train: int, n_distinct: int):
+    def run(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
         import numpy as np
 
         values, sizes = tokens(docs.column("text").to_pylist())
-        words, total = counts.column("word").to_numpy().view("u8"), counts.column("c").to_numpy()
-        order = np.argsort(words)
-        c = total[order][np.searchsorted(words[order], values)] if len(values) else np.empty(0, "i8")
+        answers = answers.sort_by("slice")
+        levels = [np.frombuffer(b, "u1") for b in answers.column("levels").to_pylist()]
+        sound = np.repeat(answers.column("sound").to_numpy(), [len(x) for x in levels])
+        both = np.concatenate([np.empty(0, "u1"), *levels]).astype("i8")
+        both = np.where(both > 0, count_of(both), 0.0)
+        total = np.concatenate([np.empty(0, "i8"), *(_unpacked(f, m, "<u8") for f, m in zip(answers.column("few").to_pylist(), answers.column("many").to_pylist()))])
+        c = total[np.unique(values, return_inverse=True)[1]] if len(values) else np.empty(0, "i8")
         single = (c + 1) / (n_train + n_distinct + 1)
         h, inside = bigrams(values, sizes)
         before = np.zeros(len(c))
         before[1:] = c[:-1]
         before[~inside] = 0
-        at = np.flatnonzero(before > 0)
-        pair = np.zeros(len(c))
-        pair[at] = np.minimum(1.0, model.value.counts(h[at]) / before[at])
-        share = L * before / (before + K)
-        share[at] *= model.value.trust(h[at])
+        pair, share = np.zeros(len(c)), L * before / (before + K)
+        at = np.unique(h[inside], return_inverse=True)[1]
+        pair[inside] = np.minimum(1.0, both[at] / np.maximum(before[inside], 1))
+        share[inside] *= sound[at]
         p = (1 - share) * single + share * pair
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else np.empty(0, "i8")
         add = lambda x: np.add.reduceat(x, first) if len(first) else np.empty(0)
@@ -250,17 +296,15 @@ def _scored(model, n_train: int, n_distinct: int):
 SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
-def scored(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def scored(docs: DataFrame) -> DataFrame:
     """Scores (doc_id, text, held_out) rows by a model of those that are not held out."""
     spark = docs.sparkSession
-    train = docs.where(~F.col("held_out"))
-    found, n_train, n_distinct = trained(train, max_bits)
-    model = spark.sparkContext.broadcast(found)
-    n_shards = 4 * width(spark)
+    n_shards, log_slices = 4 * width(spark), max(8, (width(spark) - 1).bit_length())
     shards = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(n_shards)).cast("int").alias("shard"), "doc_id", "text", "held_out").groupBy("shard")
-    words = shards.applyInArrow(_words, "word bigint, shard int, c bigint")
-    counts = words.select("shard", "word", F.sum("c").over(Window.partitionBy("word")).alias("c"))
-    return shards.cogroup(counts.groupBy("shard")).applyInArrow(_scored(model, n_train, n_distinct), SCORED)
+    answers = stored(shards.applyInArrow(_asked(log_slices), ASKED).groupBy("slice").applyInArrow(_answered(log_slices), ANSWERED), "answers")
+    n_train, n_distinct = answers.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    answers = answers.select("shard", "slice", "levels", "few", "many", "sound")
+    return shards.cogroup(answers.groupBy("shard")).applyInArrow(_scored(n_train, n_distinct), SCORED)
 
 
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
