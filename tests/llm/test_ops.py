@@ -152,6 +152,25 @@ def test_html():
     assert html.main_blocks("") == [] and html.main_blocks("just text") == ["just text"] and html.main_blocks("<p>cut &am") == ["cut &am"]
 
 
+def test_html_keeps_all_content():
+    def text(k):
+        return f"Part {k} of the text, with commas, and some more. Yes, it is long enough."
+
+    def ps(a, b):
+        return "".join(f"<p>{text(k)}</p>" for k in range(a, b))
+
+    def want(n):
+        return [text(k) for k in range(n)]
+
+    assert html.main_blocks(f"<body><div class=story><h1>T</h1><div class=text>{ps(0, 19)}</div><div class=more>{ps(19, 20)}</div></div></body>") == ["T", *want(20)]
+    assert html.main_blocks(f"<body><h1>T</h1><div>{text(0)}</div><p>x</p></body>")[:2] == ["T", text(0)]
+    assert html.main_blocks(f"<body><main><section>{ps(0, 4)}</section><article>{ps(4, 10)}</article></main></body>") == want(10)
+    assert html.main_blocks(f"<body><article>{ps(0, 6)}</article><article>{ps(6, 10)}</article></body>") == want(10)
+    listed = html.main_blocks(f"<body><p>{text(0)}<ul><li>i<li>j</ul><blockquote>q</blockquote><table><tr><td>c</table><p>{text(1)}</body>")
+    assert listed == [text(0), "i", "j", "q", "c", text(1)]
+    assert html.main_blocks(f"<body><main><p>by me</p><article><h1>T</h1>{ps(0, 3)}<p>End.</article></main><footer>foot</footer></body>") == ["T", *want(3), "End."]
+
+
 def test_html_query(spark, tmp_path):
     spark.createDataFrame([(1, "u", None), (2, None, "<p>x"), (2, None, "<p>x"), (None, "v", "")], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert sorted(((r.page_id or 0), r.text, r.n_chars) for r in QUERIES["op5_html"](spark, str(tmp_path)).collect()) == [(0, "", 0), (1, "", 0), (2, "x", 1), (2, "x", 1)]

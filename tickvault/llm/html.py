@@ -3,9 +3,10 @@
 A page is read into blocks, each with the path of block elements from the root. For each path, the length and the
 punctuation of its blocks are added up; a path's ratio is its text a block, weighted by punctuation. Ratios are smoothed
 along the page and fused with the path's own, and paths over a threshold are content paths. The smallest element
-that holds nearly all content is the region of the article: every block of it is kept, short ones too, except in
-elements that are furniture by their tag or by the words of their class or id. Where the region is the whole body, the
-threshold decides for each block.
+that holds all content is the region of the article, or an article or main element that does: every block of it is kept,
+short ones too, except in elements that are furniture by their tag or by the words of their class or id. Where the
+region is the whole body, it begins with the first block of content and ends with the last. Headings just before a
+region that has no such element are part of it.
 
 Defined results: a null page is empty, and a page without content gives the empty text; repeated rows are pages of
 their own; other columns are not passed on.
@@ -48,7 +49,7 @@ BOUNDS = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "tr":
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 SPACE = re.compile(r"\s+")
-THRESHOLD, MOST = 0.35, 0.9
+THRESHOLD = 0.35
 
 
 def hinted(attrs: list[tuple[str, str | None]]) -> bool:
@@ -169,22 +170,19 @@ def main_blocks(html: str) -> list[str]:
     fused = [math.sqrt(a * b) for a, b in zip(own, smooth)]
     limit = THRESHOLD * max(fused)
     content = [k for k, f in enumerate(fused) if f >= limit]
-    # an article or main element that holds content is the region; else the smallest element with nearly all of it
-    mass: dict[int, float] = defaultdict(float)
-    for k in content:
-        for number in blocks[k][0]:
-            mass[number] += len(blocks[k][2])
-    whole = sum(len(blocks[k][2]) for k in content)
-    named = [n for n in mass if page.tags[n] in ("article", "main") and mass[n] >= whole / 2]
-    holders = [n for n in mass if mass[n] >= MOST * whole and page.tags[n] not in (*HEADINGS, "p", "li", "td", "th", "blockquote", "pre", "tr")]
+    # an article or main element that holds all content is the region; else the smallest element that does
+    holders = set(blocks[content[0]][0]).intersection(*(blocks[k][0] for k in content))
+    named = [n for n in holders if page.tags[n] in ("article", "main")]
+    holders = [n for n in holders if page.tags[n] not in (*HEADINGS, "p", "li", "td", "th", "blockquote", "pre", "tr")]
     region = max(named or holders, default=None, key=lambda n: (page.tags[n] == "article", n))
-    if region is not None and page.tags[region] not in ("html", "body"):
-        return [text for path, _, text in blocks if region in path]
-    kept = set(content)
-    for k in range(len(blocks) - 2, -1, -1):
-        if kinds[k] and kinds[k][-1] in HEADINGS and k + 1 in kept:
-            kept.add(k)
-    return [blocks[k][2] for k in sorted(kept)]
+    if region is None or page.tags[region] in ("html", "body"):
+        first, last = content[0], content[-1]
+    else:
+        own = [k for k, (path, _, _) in enumerate(blocks) if region in path]
+        first, last = own[0], own[-1]
+    while not named and first and kinds[first - 1] and kinds[first - 1][-1] in HEADINGS:
+        first -= 1
+    return [text for _, _, text in blocks[first : last + 1]]
 
 
 def extracted(pages: DataFrame) -> DataFrame:
