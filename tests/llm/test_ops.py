@@ -171,6 +171,21 @@ def test_html_keeps_all_content():
     assert html.main_blocks(f"<body><main><p>by me</p><article><h1>T</h1>{ps(0, 3)}<p>End.</article></main><footer>foot</footer></body>") == ["T", *want(3), "End."]
 
 
+def test_html_wrappers_are_not_furniture():
+    text = [f"Part {k} of the text, with commas, and some more. Yes, it is long enough." for k in range(6)]
+    ps = "".join(f"<p>{t}</p>" for t in text)
+    side = "<div class=sidebar><p>Links, more links, and so on, here, for all of you.</p></div>"
+    for wrapper in ("<div id=page class='with-sidebar'>", "<div class='no-comments'>", "<section id=has-banner>", "<form action='/page.aspx'>"):
+        end = "</" + wrapper[1:].split()[0] + ">"
+        assert html.main_blocks(f"<body>{wrapper}<article>{ps}</article>{side}{end}</body>") == text
+        assert html.main_blocks(f"<body>{wrapper}<main>{ps}</main>{side}{end}</body>") == text
+        assert html.main_blocks(f"<body>{wrapper}{side}<div class=text>{ps}</div>{end}<p>x</p></body>") == text
+    comments = "<div class=comments><article class=comment><p>Nice post, with commas, and more. Thanks, it is long enough.</p></article></div>"
+    assert html.main_blocks(f"<body><article>{ps}</article>{comments}<form><p>{text[0]}</p></form></body>") == text
+    assert html.main_blocks(f"<body><div class=with-sidebar><article>{ps}</article>{comments}</div></body>") == text
+    assert html.main_blocks(f"<body><div hidden><article>{ps}</article></div><nav><article>{ps}</article></nav></body>") == []
+
+
 def test_html_query(spark, tmp_path):
     spark.createDataFrame([(1, "u", None), (2, None, "<p>x"), (2, None, "<p>x"), (None, "v", "")], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert sorted(((r.page_id or 0), r.text, r.n_chars) for r in QUERIES["op5_html"](spark, str(tmp_path)).collect()) == [(0, "", 0), (1, "", 0), (2, "x", 1), (2, "x", 1)]

@@ -4,8 +4,8 @@ A page is read into blocks, each with the path of block elements from the root.
 punctuation of its blocks are added up; a path's ratio is its text a block, weighted by punctuation. Ratios are smoothed
 along the page and fused with the path's own, and paths over a threshold are content paths. The smallest element
 that holds all content is the region of the article, or an article or main element that does: every block of it is kept,
-short ones too, except in elements that are furniture by their tag or by the words of their class or id. Where the
-region is the whole body, it begins with the first block of content and ends with the last. Headings just before a
+short ones too, except in elements that are furniture by their tag or by the words of their class or id. Such words, or
+a form, do not make furniture of what holds an article, a main element or most of the page's text. Where the region is the whole body, it begins with the first block of content and ends with the last. Headings just before a
 region that has no such element are part of it.
 
 Defined results: a null page is empty, and a page without content gives the empty text; repeated rows are pages of
@@ -30,8 +30,8 @@ from tickvault.llm.tokens import mapped, texts
 #: Elements whose text is never content.
 SILENT = frozenset("script style noscript template iframe svg math object embed canvas audio video map head title select option textarea button datalist dialog".split())
 #: Elements that are furniture of a page.
-FURNITURE = frozenset("nav footer aside form menu".split())
-#: Words of a class or id that mark furniture.
+FURNITURE = frozenset("nav footer aside menu".split())
+#: Words of a class, id or role that mark furniture, as a form does, unless the element holds an article, a main element or most of the text.
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored banner banners promo promos promotion cookie cookies consent gdpr notice notices alert popup modal overlay paywall subscribe subscription newsletter signup login sidebar sidebars "
     "side aside rail menu menus nav navbar navigation breadcrumb breadcrumbs crumbs topbar masthead footer foot comment comments commentlist disqus replies reply respond responses share sharing social related recommended recommendations "
@@ -54,16 +54,17 @@ THRESHOLD = 0.35
 
 def hinted(attrs: list[tuple[str, str | None]]) -> bool:
     for name, value in attrs:
-        value = value or ""
         if name in ("class", "id", "role"):
-            words = {w.lower() for w in WORD.findall(value)}
+            words = {w.lower() for w in WORD.findall(value or "")}
             if words & HINTS or "header" in words and not words & OF_ARTICLE:
                 return True
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
     return False
 
 
+def hidden(attrs: list[tuple[str, str | None]]) -> bool:
+    return any(name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value or "", re.I) for name, value in attrs)
+
+
 class Blocks(HTMLParser):
     """Blocks of a page: (path, whether furniture, text); a path is of element numbers, tags are kept beside."""
 
@@ -71,6 +72,7 @@ class Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = []  # tag, number, furniture
         self.tags: dict[int, str] = {}
+        self.doubtful: set[int] = set()  # furniture by a name or as a form
         self.blocks: list[tuple[tuple[int, ...], bool, str]] = []
         self.text: list[str] = []
         self.silent: list[str] = []
@@ -116,9 +118,14 @@ class Blocks(HTMLParser):
             self.shut(CLOSES[tag], BOUNDS[tag])
         if tag in VOID:
             return
-        furniture = bool(self.open) and self.open[-1][2] or tag in FURNITURE or tag not in ("html", "body", "article", "main") and hinted(attrs) or tag == "header" and not self.inside("article", "main")
+        whole = tag in ("html", "body", "article", "main")
+        furniture = bool(self.open) and self.open[-1][2] or tag in FURNITURE or not whole and hidden(attrs) or tag == "header" and not self.inside("article", "main")
         number = len(self.tags)
         self.tags[number] = tag
+        if tag == "main" or tag == "article" and not hinted(attrs):  # comments and teasers may be articles by their tag
+            self.doubtful.difference_update(n for _, n, _ in self.open)
+        if tag == "form" or not whole and hinted(attrs):
+            self.doubtful.add(number)
         self.open.append((tag, number, furniture))
 
     def handle_endtag(self, tag: str) -> None:
@@ -144,6 +151,13 @@ class Blocks(HTMLParser):
     def close(self) -> None:
         super().close()
         self.flush()
+        length: dict[int, int] = defaultdict(int)
+        for path, furniture, text in self.blocks:
+            for n in self.doubtful.intersection(path) if not furniture else ():
+                length[n] += len(text)
+        most = sum(len(text) for _, furniture, text in self.blocks if not furniture) / 2
+        left = {n for n in self.doubtful if length[n] <= most}
+        self.blocks = [(path, furniture or not left.isdisjoint(path), text) for path, furniture, text in self.blocks]
 
 
 def _marks(text: str) -> int:
