@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -186,6 +187,94 @@ def test_html_wrappers_are_not_furniture():
     assert html.main_blocks(f"<body><div hidden><article>{ps}</article></div><nav><article>{ps}</article></nav></body>") == []
 
 
+def brute_ratios(blocks):
+    """Fused ratios of (whole tag path, text), by the definition."""
+    def marks(t):
+        return sum(unicodedata.category(c).startswith("P") for c in t)
+
+    own = []
+    for path, _ in blocks:
+        same = [t for p, t in blocks if p == path]
+        own.append(sum(map(len, same)) / len(same) * (1 + math.log(1 + sum(map(marks, same)) / len(same))))
+    n = len(own)
+    return [math.sqrt(own[k] * (own[max(k - 1, 0)] + 2 * own[k] + own[min(k + 1, n - 1)]) / 4) for k in range(n)]
+
+
+def test_html_ratios_of_whole_paths():
+    import random
+
+    rng = random.Random(2)
+    for _ in range(30):
+        page = html.Blocks()
+        page.feed("".join(rng.choice(["<div>", "<p>", "</p>", "</div>", "<ul><li>", "</ul>", "<h2>", "</h2>", "<section>"]) + "x. y, z! "[: rng.randrange(9)] * rng.randrange(4) for _ in range(60)))
+        page.close()
+
+        def path(e):
+            return () if e < 0 else (*path(page.parent[e]), page.tag[e])
+
+        got = html.fused_ratios([page.path[e] if e >= 0 else -1 for e, _ in page.blocks], [t for _, t in page.blocks])
+        assert got == pytest.approx(brute_ratios([(path(e), t) for e, t in page.blocks]))
+
+
+def planted_page(rng, k):
+    """A page without telling tags, and its article: long paragraphs, short ones, lists and quotes among links and teasers."""
+    def some(a, b):
+        return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) + rng.choice(["", "", "", ",", "."]) for _ in range(rng.randint(a, b)))
+
+    wanted = ["Head " + some(3, 6)]
+    body = f"<h1>{wanted[0]}</h1>"
+    for kind in ["p", "p class=notice", *rng.choices(["p", "p", "ul", "blockquote"], k=rng.randint(3, 8)), "p"]:
+        text = some(40, 90) if kind.startswith("p") else some(3, 30)
+        wanted.append(text)
+        body += f"<ul><li>{text}</ul>" if kind == "ul" else f"<{kind}>{text}</{kind.split()[0]}>"
+    links = "".join(f"<li><a href=x>{some(1, 3)}</a>" for _ in range(rng.randint(4, 12)))
+    tag = ("article", "div class=story", "section id=c1")[k % 3]
+    teasers = "".join(f"<div class=box><div><span>{some(2, 5)}</span></div></div>" for _ in range(rng.randint(0, 6)))
+    return f"<body><div class=hd><ul>{links}</ul></div><{tag}>{body}</{tag.split()[0]}><div>{teasers}</div><footer><p>{some(20, 40)}</footer>", wanted
+
+
+def test_html_of_planted_pages():
+    import random
+
+    rng, hit, found, all_of = random.Random(6), 0, 0, 0
+    for k in range(150):
+        page, wanted = planted_page(rng, k)
+        got = html.main_blocks(page)
+        hit += len({*got} & {*wanted})
+        found += len(got)
+        all_of += len(wanted)
+    assert hit >= 0.99 * all_of and hit >= 0.99 * found
+
+
+def test_html_threshold_decides():
+    import random
+
+    rng = random.Random(7)
+    pages = [planted_page(rng, k)[0] for k in range(60)]
+    kept = [sum(len(html.main_blocks(p, t)) for p in pages) for t in (0.0, 0.02, html.THRESHOLD, 0.99)]
+    assert kept[0] > kept[1] > kept[2] > kept[3]
+
+
+def test_html_names_inside_an_article():
+    long = "Some long text, with commas, and more of it. Yes, it goes on and on, as texts do."
+    page = f"<body><nav><p>{long}</nav><article><h1>T</h1><p>{long} 1</p><p class=notice>{long} 2</p><div class=legal-analysis><p>{long} 3</p></div><div class=ad><p>{long} 4</p></div><div class='comments'><p>{long} 5</p></div></article>"
+    assert html.main_blocks(page) == ["T", f"{long} 1", f"{long} 2", f"{long} 3"]
+
+
+def test_html_of_deep_and_long_pages():
+    """Time in proportion to the page, also for elements that are never closed."""
+    import time
+
+    def took(page):
+        began = time.process_time()
+        html.main_blocks(page)
+        return time.process_time() - began
+
+    assert took("<div>x y z" * 8000) < 2
+    for part in ("<div>x y z", "<center><form>x y z", "<ul><li>x</p></section>", "<p>Some text, and more.</p></foo></article>"):
+        assert took(part * 16000) < 40 * took(part * 800) + 0.5
+
+
 def test_html_query(spark, tmp_path):
     spark.createDataFrame([(1, "u", None), (2, None, "<p>x"), (2, None, "<p>x"), (None, "v", "")], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert sorted(((r.page_id or 0), r.text, r.n_chars) for r in QUERIES["op5_html"](spark, str(tmp_path)).collect()) == [(0, "", 0), (1, "", 0), (2, "x", 1), (2, "x", 1)]
