@@ -52,6 +52,16 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def measured(docs: DataFrame, text: str = "text") -> tuple[int, int]:
+    """(bytes of all texts, number of rows)."""
+    return tuple(docs.agg(F.coalesce(F.sum(F.octet_length(text).cast("bigint")), F.lit(0)), F.count("*")).first())
+
+
+def shards(spark: SparkSession, total: int, size: int) -> int:
+    """The number of shards of about `size` bytes; four for each shuffle partition at least."""
+    return max(4 * width(spark), -(-total // size))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or in tests a temporary one."""
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
