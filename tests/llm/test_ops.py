@@ -475,12 +475,14 @@ def test_jaccard(spark, sf, rows):
     assert got == want and sum(i != c for i, (_, c) in want.items()) > 20
 
 
-def test_jaccard_in_many_blocks(spark, sf, rows, monkeypatch):
+@pytest.mark.parametrize("finer", [0, 1, 3])
+def test_jaccard_in_many_blocks(spark, sf, rows, monkeypatch, finer):
     """Blocks, pivots and columns so small that every part of the scan of large clusters is met."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     found = docs.select("text").mapInArrow(jaccard._whole, "key bigint, shingles array<bigint>").dropDuplicates(["key"])
     monkeypatch.setattr(jaccard, "BLOCK_SETS", 4)
     monkeypatch.setattr(jaccard, "PIVOTS", 1)
+    monkeypatch.setattr(jaccard, "FINER", finer)
     large = found.where(F.size("shingles") > 30)
     edges = jaccard.heavy_links(large)
     names = {r.key: frozenset(r.shingles) for r in large.collect()}
@@ -501,6 +503,43 @@ def test_jaccard_in_many_blocks(spark, sf, rows, monkeypatch):
     assert len({find(k) for k in names}) < len(names)
 
 
+def templated(spark, n, seed=11):
+    """Texts dealt from 200 phrases of five words: lists join them all into one cluster."""
+    rng = np.random.default_rng(seed)
+    phrases = [" ".join(f"p{i}x{k}" for k in range(5)) for i in range(200)]
+    made = [" ".join(phrases[k] for k in rng.integers(0, 200, 14)) for _ in range(n)]
+    made += [t + " more" for t in made[: n // 50]]
+    return spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string").repartition(4), made
+
+
+def test_jaccard_of_a_templated_corpus(spark, monkeypatch):
+    """One cluster of everything: exact, and what is scanned grows about as the corpus."""
+    rows, scan = [], jaccard._scan
+    monkeypatch.setattr(jaccard, "_scan", lambda units: (rows.append(units.count()), scan(units))[1])
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 64)
+    met = []
+    for n in (1500, 4500):
+        docs, made = templated(spark, n)
+        got = {r.doc_id: r.component_id for r in jaccard.clustered(docs).collect()}
+        met.append(sum(rows) / len(made))
+        rows.clear()
+        if n == 1500:
+            want = brute_components(list(enumerate(made)))
+            assert got == {i: c for i, (_, c) in want.items()}
+        assert all(got[n + k] == got[k] for k in range(n // 50))
+    assert max(met) < 2 + jaccard.prefix(70), met  # a set is in its cluster's block and on the lists of its first shingles
+
+
+def test_hot_shingles_subsets_and_keys(spark, sf, rows, monkeypatch):
+    """The same groups where every key that occurs more than eight times travels as a hot one."""
+    import tickvault.llm.graph as graph
+
+    monkeypatch.setattr(graph, "FEW", 0)
+    monkeypatch.setattr(jaccard, "SAMPLED", 1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op10_ngram_jaccard"](spark, sf).collect()}
+    assert got == brute_components(rows)
+
+
 def test_jaccard_of_odd_rows(odd):
     got = sorted((r.doc_id is not None, r.doc_id or 0, r.n_shingles, r.component_id) for r in jaccard.clustered(odd).collect())
     assert got == [(False, 0, 0, None), (False, 0, 23, 2), (True, 2, 24, 2), (True, 4, 1, 4), (True, 4, 23, 2), (True, 4, 23, 2), (True, 9, 0, 9)]

@@ -1,28 +1,57 @@
-"""Connected components of a graph that is spread over the cluster."""
+"""Joins whose hot keys are spread, and connected components of a graph that is spread over the cluster."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickvault.llm.common import stored
+from tickvault.llm.common import stored, width
+
+#: A key with fewer rows is never hot.
+FEW = 1000
+
+
+def hot_keys(rows: DataFrame, key: str, one_in: int = 1) -> list[int]:
+    """The keys with the most rows, two for each shuffle partition at most; `rows` may be one in so many of those meant.
+
+    Which keys are hot only says how rows travel, never what comes of them."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > max(FEW // one_in, 8))
+    return [r[key] for r in counts.orderBy(F.col("n").desc(), key).limit(2 * width(rows.sparkSession)).collect() if r[key] is not None]
+
+
+def parted(rows: DataFrame, key: str, hot: list[int]) -> tuple[DataFrame, DataFrame]:
+    """(rows of other keys, rows of hot keys)."""
+    some = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in hot], f"{key} bigint"))  # two rows a shuffle partition at most
+    return rows.join(some, key, "left_anti"), rows.join(some, key, "left_semi")
+
+
+def matched(rows: DataFrame, key: str, known: DataFrame, hot: list[int], how: str = "left") -> DataFrame:
+    """rows joined with `known`, which has one row a key: rows of a hot key stay where they are and meet a broadcast of its row."""
+    if not hot:
+        return rows.join(known, key, how)
+    (others, many), (rest, few) = parted(rows, key, hot), parted(known, key, hot)
+    return others.join(rest, key, how).unionByName(many.join(F.broadcast(few), key, how))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the least id that can be reached, for each id of (a bigint, b bigint).
 
     Each round replaces an edge's ends by the least ids known to be connected with them, so chains shorten by half at
-    least as fast as labels spread; messages are minima and combine before they are shuffled, so a hub costs one row a
-    task. Each round's labels are written, and the rounds end when no label changes."""
+    least as fast as labels spread. Messages are minima and combine before they are shuffled; edges of a hub, and members
+    of a large component, stay where they are and are told by broadcast. Each round's labels are written, and the rounds
+    end when no label changes."""
     both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges")
+    hubs = hot_keys(both, "b")
     labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("a"), F.min("b")).alias("component")), "labels")
     while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
+        known = labels.withColumnRenamed("id", "b")
+        near = matched(both, "b", known, hubs, "inner").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
         # what a neighbour knows is told to the old label as well, so that whole trees move at once
         told = labels.join(near, "id").select(F.col("component").alias("id"), "near").groupBy("id").agg(F.min("near").alias("told"))
-        spread = labels.join(near, "id").join(told, "id", "left").select("id", F.col("component").alias("was"), F.least("component", "near", "told").alias("component"))
+        spread = stored(labels.join(near, "id").join(told, "id", "left").select("id", F.col("component").alias("was"), F.least("component", "near", "told").alias("component")), "spread")
         roots = spread.select(F.col("id").alias("component"), F.col("component").alias("root"))
-        new = stored(spread.join(roots, "component", "left").select("id", "was", F.least("component", "root").alias("component")), "labels")
+        new = matched(spread, "component", roots, hot_keys(spread, "component"))
+        new = stored(new.select("id", "was", F.least("component", "root").alias("component")), "labels")
         done = new.where("was <> component").isEmpty()
         labels = new.select("id", "component")
         if done:

@@ -13,15 +13,22 @@ subsets passes that of lists, by the histogram of sizes.
 
 The order is made twice: first from the shingles in three tenths of the hash space, which leaves the few sets that are
 not mostly their own; then from all shingles of those. What lists connect is a cluster, and links lie inside clusters.
-A cluster is scanned in memory, by block: all intersections of a block come from products of its incidence matrix, and
-only a spanning forest of the links leaves it. A large cluster is dealt to blocks, each with the same few pivots; only
-the sets that are still outside its largest component then meet the rest of it, again block by block. So a group of
-near copies never makes its pairs as rows, and no link between components is missed.
+
+1. A cluster that fits into a block is scanned at once: all intersections of a block come from products of its incidence
+   matrix, and only a spanning forest of the links leaves it. Larger clusters are dealt to blocks, each with the same
+   few pivots, which joins a group of near copies without ever making its pairs.
+2. In those, the lists are scanned that still hold sets of two components; each list is a block of its own. A list
+   that is too long is cut finer until it fits: by size, as linked sets have similar ones, then by a second and a third
+   shingle, as linked sets share k of their first size - needed + k shingles. A list that still does not fit is scanned
+   block against block.
+
+So sets meet only over what they share, and no link between components is missed. Shingles, lists, clusters and keys
+that hold much of the rows are told apart by counts (of a sample where that is cheaper) and are not brought to one task.
 
 Defined results: a text with one to three words has its whole sequence as its only shingle; a null, empty or blank text
 has an empty set and no link; rows with one doc_id and different texts each count, with the id as their component's
-candidate. Rows without an id link like others, but name no component: where no linked row has an id it is null. Other
-columns are not passed on.
+candidate. Rows without an id link like others, but name no component: where no linked row has an id it is null. A very
+long text is one set. An empty table gives no rows. Other columns are not passed on, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickvault.llm.common import DIGESTS, stored, table, width
-from tickvault.llm.graph import components
+from tickvault.llm.graph import components, hot_keys, matched, parted
 from tickvault.llm.tokens import slices
 
 SHINGLE, THRESHOLD = 4, 85
@@ -42,6 +49,10 @@ SHINGLE, THRESHOLD = 4, 85
 COUNTED = -(1 << 63) + (1 << 64) * 3 // 10
 #: Sets, and shingles, of a block; sets of a cluster that all its blocks hold.
 BLOCK_SETS, BLOCK_SHINGLES, PIVOTS = 1024, 1 << 21, 24
+#: How often a list that is too long is cut finer: by size, then by further shingles.
+FINER = 3
+#: One in so many sets tells which shingles and subsets are hot.
+SAMPLED = 16
 #: Parts of the hash of an id.
 SIEVE = 1 << 20
 #: Shingles that are multiplied at once.
@@ -108,7 +119,7 @@ def key_of(found) -> int:
     return xxhash.xxh3_64_intdigest(found.tobytes(), len(found)) - (1 << 63)
 
 
-FOUND = "doc_id bigint, n_shingles bigint, key bigint, n_counted int, small array<bigint>, listed binary"
+FOUND = "doc_id bigint, digest bigint, n_shingles bigint, key bigint, n_counted int, small array<bigint>, listed binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +129,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     done: set[int] = set()
     for batch in slices(batches, 500):
-        sets = shingle_sets(batch.column(1).to_pylist())
+        sets = shingle_sets(batch.column(2).to_pylist())
         keys, counted, small, listed = [], [], [], []
         for s in sets:
             key = key_of(s) if len(s) else None
@@ -129,7 +140,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             small.append(s if new and len(s) <= LARGEST_LIGHT else None)
             listed.append(s[: max(m, prefix(len(s)))].tobytes() if new else None)
             done.add(key)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.int64()), pa.array(counted, pa.int32()), pa.array(small, pa.list_(pa.int64())), pa.array(listed, pa.binary())], ["doc_id", "n_shingles", "key", "n_counted", "small", "listed"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.int64()), pa.array(counted, pa.int32()), pa.array(small, pa.list_(pa.int64())), pa.array(listed, pa.binary())], ["doc_id", "digest", "n_shingles", "key", "n_counted", "small", "listed"])
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,84 +260,146 @@ def _spread(n: Column) -> Column:
     return F.sequence(F.lit(0), n - 1)
 
 
-def postings(sets: DataFrame) -> DataFrame:
-    """(shingle, key): the rarest shingles of sets (key, shingles), as many as a link needs, without those that one set has."""
-    rows = sets.select("key", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    rows = rows.withColumn("sets", F.count("*").over(Window.partitionBy("shingle"))).where("sets > 1")
-    by_key = rows.groupBy("key").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("places"))
-    alone = F.col("n") - F.size("places")
-    room = F.col("n") - F.ceil(F.lit(THRESHOLD) * F.col("n") / 100) + 1 - alone
-    by_key = by_key.withColumn("room", room.cast("int")).where("room > 0")
-    return by_key.select("key", F.explode(F.slice("places", F.lit(1), F.col("room"))).alias("place")).select("place.shingle", "key")
+def _room(n: Column) -> Column:
+    """How many of a set's first shingles must be on lists."""
+    return (n - F.ceil(F.lit(THRESHOLD) * n / 100) + 1).cast("int")
+
+
+def _sampled(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SAMPLED)) == 0
+
+
+def shared(rows: DataFrame, hot: list[int]) -> DataFrame:
+    """Rows (shingle, key, ...) of shingles that two sets have or more, with their number `sets`; a (shingle, key) comes once. Rows of hot shingles are counted apart, by broadcast."""
+    by_shingle = lambda r: r.withColumn("sets", F.count("*").over(Window.partitionBy("shingle")))
+    deal = lambda r, *by: r.repartition(width(rows.sparkSession), *by).dropDuplicates(["shingle", "key"])
+    if not hot:
+        return by_shingle(deal(rows, "shingle")).where("sets > 1")
+    others, many = parted(rows, "shingle", hot)
+    many = deal(many, "shingle", "key")
+    counts = F.broadcast(many.groupBy("shingle").agg(F.count("*").alias("sets")))
+    return by_shingle(deal(others, "shingle")).where("sets > 1").unionByName(many.join(counts, "shingle").where("sets > 1").select(*rows.columns, "sets"))
+
+
+def places(sets: DataFrame) -> DataFrame:
+    """(key, n, room, places): the shingles of each set (key, shingles) that another has too, the rarest first, and how many of them linked sets must share one of."""
+    rows = lambda some: some.select("key", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    found = shared(rows(sets), hot_keys(rows(sets.where(_sampled("key"))), "shingle", SAMPLED))
+    by_key = found.groupBy("key").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("places"))
+    by_key = by_key.select("key", "n", (_room(F.col("n")) - (F.col("n") - F.size("places"))).alias("room"), F.transform("places", lambda p: p["shingle"]).alias("places"))
+    return by_key.where("room > 0")
 
 
 def light_links(found: DataFrame, light: int) -> DataFrame:
     small = found.where(F.col("small").isNotNull() & (F.col("n_shingles") <= light)).select("key", "small").dropDuplicates(["key"])
-    subsets = small.mapInArrow(_subsets, "subset bigint, size int, key bigint, n int")
-    least = subsets.groupBy("subset", "size").agg(F.min(F.struct("n", "key")).alias("to"))
+    made = lambda some: some.mapInArrow(_subsets, "subset bigint, size int, key bigint, n int")
+    subsets, hot = made(small), hot_keys(made(small.where(_sampled("key"))), "subset", SAMPLED)
+    least = subsets.groupBy("subset").agg(F.min(F.struct("n", "key")).alias("to"))  # a subset's hash tells its size
     need = F.ceil(F.lit(THRESHOLD) * (F.col("n") + F.col("to.n")) / (100 + THRESHOLD))
-    return subsets.join(least, ["subset", "size"]).where((F.col("key") != F.col("to.key")) & (need <= F.col("size"))).select(F.col("key").alias("a"), F.col("to.key").alias("b")).distinct()
+    return matched(subsets, "subset", least, hot, "inner").where((F.col("key") != F.col("to.key")) & (need <= F.col("size"))).select(F.col("key").alias("a"), F.col("to.key").alias("b")).distinct()
 
 
 def candidates(docs: DataFrame, found: DataFrame, light: int) -> DataFrame:
     """(key, shingles): the sets that are not mostly their own, by the counted shingles."""
-    listed = found.where(F.col("listed").isNotNull() & (100 * F.col("n_shingles") > THRESHOLD * light)).select("key", "listed").mapInArrow(_listed, "key bigint, shingle bigint")
-    listed = listed.repartition(width(docs.sparkSession), "shingle").dropDuplicates(["shingle", "key"])
-    shared = listed.withColumn("sets", F.count("*").over(Window.partitionBy("shingle"))).where("sets > 1")
-    by_key = shared.groupBy("key").agg(F.sum((F.col("shingle") < COUNTED).cast("int")).alias("shared"))
-    sizes = found.select("key", "n_shingles", "n_counted").distinct()
-    room = F.col("n_shingles") - F.ceil(F.lit(THRESHOLD) * F.col("n_shingles") / 100) + 1 > F.col("n_counted") - F.col("shared")
-    by_key = stored(by_key.join(sizes, "key").where(room).select("key"), "keys")
-    # a set's text is that of its first document; ids may repeat or be null, so the text tells its key again
-    first = found.join(by_key, "key").groupBy("key").agg(F.min("doc_id").alias("first")).select("first").distinct()
-    # most texts are left out before the shuffle, by a part of a hash of the id: SIEVE rows are broadcast at most
-    sieve = lambda c: F.pmod(F.xxhash64(c), F.lit(SIEVE)).alias("part")
-    parts = F.broadcast(first.select(sieve("first")).distinct())
-    some = docs.withColumn("part", sieve("doc_id")).join(parts, "part", "left_semi")
-    text = some.join(first, some["doc_id"].eqNullSafe(first["first"]), "left_semi").select("text")
-    return text.mapInArrow(_whole, "key bigint, shingles array<bigint>").dropDuplicates(["key"]).join(by_key, "key", "left_semi")
+    listed = lambda some: some.select("key", "listed").mapInArrow(_listed, "key bigint, shingle bigint")
+    heavy = found.where(F.col("listed").isNotNull() & (100 * F.col("n_shingles") > THRESHOLD * light))
+    known = shared(listed(heavy), hot_keys(listed(heavy.where(_sampled("key"))), "shingle", SAMPLED))
+    by_key = known.groupBy("key").agg(F.sum((F.col("shingle") < COUNTED).cast("int")).alias("shared"))
+    sizes = found.where("key is not null").groupBy("key").agg(F.first("n_shingles").alias("n_shingles"), F.first("n_counted").alias("n_counted"), F.min(F.struct("doc_id", "digest")).alias("first"))
+    by_key = stored(by_key.join(sizes, "key").where(_room(F.col("n_shingles")) > F.col("n_counted") - F.col("shared")).select("key", "first.*"), "keys")
+    # a set's text is that of its first document, by id and digest; the text tells its key again
+    first = by_key.select("doc_id", "digest").distinct()
+    # most texts are left out before the shuffle, by a part of a hash: SIEVE rows are broadcast at most
+    sieve = F.pmod(F.xxhash64("doc_id", "digest"), F.lit(SIEVE)).alias("part")
+    some = docs.withColumn("part", sieve).join(F.broadcast(first.select(sieve).distinct()), "part", "left_semi")
+    text = some.join(first, some["doc_id"].eqNullSafe(first["doc_id"]) & (some["digest"] == first["digest"]), "left_semi").select("text")
+    return text.mapInArrow(_whole, "key bigint, shingles array<bigint>").dropDuplicates(["key"]).join(by_key.select("key"), "key", "left_semi")
+
+
+def _finer(lists: DataFrame, by_key: DataFrame, step: int) -> DataFrame:
+    """Lists (list, used, key, n) cut by size in step 0, then by one more shingle; a set is on more lists than before, and sets that link on one at least."""
+    if step == 0:  # sizes of linked sets lie in the same band or in neighbouring ones
+        band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / THRESHOLD))).cast("int")
+        return lists.withColumn("band", F.explode(F.array(band, band + 1))).withColumn("list", F.col("list").bitwiseXOR(F.xxhash64(F.lit("band"), "band"))).drop("band")
+    more = lists.join(by_key.select("key", F.slice("places", F.lit(1), F.col("room") + step).alias("places")), "key")
+    more = more.withColumn("next", F.explode(F.array_except("places", "used")))
+    more = more.withColumn("list", F.col("list").bitwiseXOR(F.xxhash64("next"))).withColumn("used", F.array_append("used", F.col("next")))
+    return more.select(*lists.columns).dropDuplicates(["list", "key"])
+
+
+def _mixed(lists: DataFrame) -> DataFrame:
+    """Lists that hold sets of two components, once where lists are the same, with `fits`."""
+    mark = F.shiftrightunsigned(F.xxhash64("key"), 24)
+    stats = lists.groupBy("list").agg(F.count("*").alias("c"), F.sum("n").alias("m"), F.min("component").alias("low"), F.max("component").alias("high"), F.sum(mark).alias("sig")).where("low <> high")
+    stats = stats.groupBy("c", "m", "sig").agg(F.min("list").alias("list"))
+    return matched(lists, "list", stats.select("list", ((F.col("c") <= BLOCK_SETS) & (F.col("m") <= BLOCK_SHINGLES)).alias("fits")), hot_keys(lists, "list"), "inner")
+
+
+def _between(lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """Units of lists too long for a block: what is outside a list's largest component against the whole list, block by block."""
+    counts = lists.groupBy("list", "component").agg(F.count("*").alias("c"))
+    main = counts.groupBy("list").agg(F.max(F.struct("c", "component")).alias("main"), F.sum("c").alias("c"))
+    main = main.select("list", F.col("main.component").alias("main"), F.ceil((F.col("c") - F.col("main.c")) / BLOCK_SETS).cast("int").alias("o_blocks"), F.ceil(F.col("c") / BLOCK_SETS).cast("int").alias("n_blocks"))
+    rows = matched(lists.select("list", "key", "component"), "list", main, hot_keys(lists, "list"), "inner")
+    block = lambda seed, n: F.pmod(F.xxhash64("key", F.lit(seed)), F.col(n)).cast("int")
+    outside = rows.where("component <> main").select("list", "key", block(2, "o_blocks").alias("o_block"), F.explode(_spread(F.col("n_blocks"))).alias("block"), F.lit(0).alias("side"))
+    inside = rows.select("list", "key", F.explode(_spread(F.col("o_blocks"))).alias("o_block"), block(3, "n_blocks").alias("block"), F.lit(1).alias("side"))
+    return outside.unionByName(inside).join(sets, "key").select(F.xxhash64("list", "block", "o_block").alias("unit"), "side", "key", "shingles")
 
 
 def heavy_links(sets: DataFrame) -> DataFrame:
     """(a, b): links between sets (key, shingles) that connect what links connect."""
-    lists = stored(postings(sets), "lists")
+    by_key = stored(places(sets), "places")
+    lists = stored(by_key.select("key", "n", F.explode(F.slice("places", F.lit(1), F.col("room"))).alias("shingle")), "lists")
     least = lists.groupBy("shingle").agg(F.min("key").alias("b"))
-    clusters = components(lists.join(least, "shingle").select(F.col("key").alias("a"), "b").distinct())
-    rows = sets.join(clusters, sets["key"] == clusters["id"]).select(F.col("component").alias("cluster"), "key", "shingles")
-    sizes = rows.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(F.size("shingles")).alias("m"))
-    sizes = sizes.withColumn("n_blocks", F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("m") / BLOCK_SHINGLES)).cast("int"))
-    rows = rows.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("key"), F.col("n_blocks")).cast("int"))
-    pivot = (F.col("n_blocks") > 1) & (F.pmod(F.xxhash64("key", F.lit(1)), F.col("n")) < PIVOTS)
-    units = rows.withColumn("block", F.explode(F.when(pivot, _spread(F.col("n_blocks"))).otherwise(F.array("block"))))
+    clusters = components(matched(lists, "shingle", least, hot_keys(lists, "shingle"), "inner").select(F.col("key").alias("a"), "b").distinct())
+    rows = clusters.withColumnRenamed("id", "key").withColumnRenamed("component", "cluster").join(by_key.select("key", "n"), "key")
+    sizes = rows.groupBy("cluster").agg(F.count("*").alias("c"), F.sum("n").alias("m"))
+    sizes = sizes.withColumn("n_blocks", F.greatest(F.ceil(F.col("c") / BLOCK_SETS), F.ceil(F.col("m") / BLOCK_SHINGLES)).cast("int"))
+    rows = stored(matched(rows, "cluster", sizes, hot_keys(rows, "cluster"), "inner"), "clusters")
+    block = F.pmod(F.xxhash64("key"), F.col("n_blocks")).cast("int")
+    pivot = (F.col("n_blocks") > 1) & (F.pmod(F.xxhash64("key", F.lit(1)), F.col("c")) < PIVOTS)
+    units = rows.withColumn("block", F.explode(F.when(pivot, _spread(F.col("n_blocks"))).otherwise(F.array(block)))).join(sets, "key")
     proved = stored(_scan(units.withColumn("unit", F.xxhash64("cluster", "block")).withColumn("side", F.lit(0))), "links")
-    large = rows.where("n_blocks > 1")
+    large = rows.where("n_blocks > 1").select("key")
     if large.isEmpty():
         return proved
-    labels = components(proved)
-    large = large.join(labels.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    large = stored(large.select("cluster", "key", "shingles", "n_blocks", "block", "component"), "large")
-    counts = large.groupBy("cluster", "component").agg(F.count("*").alias("c"))
-    main = counts.groupBy("cluster").agg(F.max(F.struct("c", "component")).alias("main"), F.sum("c").alias("n")).select("cluster", F.col("main.component").alias("main"), F.ceil((F.col("n") - F.col("main.c")) / BLOCK_SETS).cast("int").alias("o_blocks")).where("o_blocks > 0")
-    large = large.join(main, "cluster").withColumn("o_block", F.pmod(F.xxhash64("key", F.lit(2)), F.col("o_blocks")).cast("int"))
-    outside = large.where("component <> main").select("cluster", "key", "shingles", "o_block", F.explode(_spread(F.col("n_blocks"))).alias("block"), F.lit(0).alias("side"))
-    inside = large.select("cluster", "key", "shingles", F.explode(_spread(F.col("o_blocks"))).alias("o_block"), "block", F.lit(1).alias("side"))
-    return proved.unionByName(stored(_scan(outside.unionByName(inside).withColumn("unit", F.xxhash64("cluster", "block", "o_block"))), "links"))
+    large = large.join(components(proved).withColumnRenamed("id", "key"), "key", "left").select("key", F.coalesce("component", "key").alias("component"))
+    rest = lists.join(large, "key").select(F.xxhash64("shingle").alias("list"), F.array("shingle").alias("used"), "key", "n", "component")
+    units = []
+    for step in range(FINER + 1):
+        rest = stored(_mixed(stored(rest, "lists")), "mixed")
+        units.append(rest.where("fits").join(sets, "key").select(F.col("list").alias("unit"), F.lit(0).alias("side"), "key", "shingles"))
+        rest = rest.where("not fits").drop("fits")
+        if rest.isEmpty():
+            break
+        if step == FINER:
+            units.append(_between(rest, sets))
+        else:
+            rest = _finer(rest, by_key, step)
+    for some in units:
+        proved = proved.unionByName(stored(_scan(some), "links"))
+    return proved
 
 
 def clustered(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, key, component_id."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    """doc_id, digest (of the text), n_shingles, key, component_id and stays: of each component's rows those with the least id, and of these the least digest, stay; so do all rows without a shingle."""
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
     found = stored(docs.mapInArrow(_sets, FOUND), "sets")
     sizes = found.where(F.col("small").isNotNull()).groupBy("n_shingles").agg(F.count("*").alias("c"))
     light = boundary({r["n_shingles"]: r["c"] for r in sizes.collect()})  # a row a size up to LARGEST_LIGHT
     sets = stored(candidates(docs, found, light), "candidates")
     labels = components(light_links(found, light).unionByName(heavy_links(sets)))
-    keys = found.select("doc_id", "n_shingles", "key")
-    first = keys.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first"))
-    named = first.join(labels.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_key = named.join(least, "component").select("key", "component_id")
-    return keys.join(by_key, "key", "left").select("doc_id", "n_shingles", "key", F.coalesce("component_id", "doc_id").alias("component_id"))
+    keys = found.select("doc_id", "digest", "n_shingles", "key")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest"))
+    named = keys.where("key is not null").groupBy("key").agg(least.alias("least")).join(labels.withColumnRenamed("id", "key"), "key", "left")
+    named = stored(named.select("key", "least", F.coalesce("component", "key").alias("component")), "named")
+    of = named.groupBy("component").agg(F.min("least").alias("first"))
+    by_key = matched(named, "component", of, hot_keys(named, "component"), "inner").select("key", "first")
+    rows = matched(keys, "key", by_key, hot_keys(keys, "key"))
+    stays = F.col("key").isNull() | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest")))
+    component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.coalesce("first.doc_id", "doc_id"))
+    return rows.select("doc_id", "digest", "n_shingles", "key", component.alias("component_id"), stays.alias("stays"))
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
