@@ -77,7 +77,7 @@ def shingles(text, n, lower=False):
 def test_fingerprints(spark, sf, rows):
     got = {r.doc_id: r for r in QUERIES["op1_fingerprint"](spark, sf).collect()}
     assert len(got) == len(rows)
-    by_text = defaultdict(set)
+    by_text, off = defaultdict(set), []
     for k, (i, t) in enumerate(rows):
         t, nxt = t or "", rows[(k + 1) % len(rows)][1] or ""
         cut = len(t) // 4
@@ -88,10 +88,34 @@ def test_fingerprints(spark, sf, rows):
         for other, near in ((edited, r.near_edited), (nxt, r.near_next)):
             a, b = shingles(t, 5), shingles(other, 5)
             true = len(a & b) / len(a | b) if a | b else 1.0
-            assert 0 <= near <= 1 and abs(near - true) <= (1e-9 if len(a | b) <= fingerprint.FLOOR else 0.3)
+            assert 0 <= near <= 1 and abs(near - true) <= (1e-9 if max(len(a), len(b)) <= fingerprint.FLOOR else 0.2)
+            off.append(abs(near - true))
+    assert sum(off) / len(off) <= 0.03 and sum(x > 0.1 for x in off) <= 0.05 * len(off)
     assert all(len(f) == 1 for f in by_text.values())
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no driver tables")
+def test_fingerprints_of_driver_documents(spark):
+    """Five hundredths on average, in a size that does not follow that of long texts."""
+    docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect())
+    got = {r.doc_id: r for r in QUERIES["op1_fingerprint"](spark, "/root/testdata/sf0.001").collect()}
+    off = []
+    for k, (i, t) in enumerate(docs):
+        cut = len(t) // 4
+        a, b = shingles(t, 5), shingles(t[: len(t) - cut] + docs[(k + 1) % len(docs)][1][:cut], 5)
+        off.append(abs(got[i].near_edited - (len(a & b) / len(a | b) if a | b else 1.0)))
+        assert len(got[i].fingerprint) <= 9 + 8 * max(fingerprint.FLOOR, len(a) / 32)
+    assert sum(off) / len(off) <= 0.05
+
+
+def test_next_of_many_rows_of_one_id(spark):
+    """Null and repeated ids are spread over ranges and keep their order."""
+    rows = [(None, f"n{k}") for k in range(300)] + [(5, f"t{k}") for k in range(300)] + [(7, "x"), (7, "x")]
+    got = fingerprint.with_next(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).where("guest = 0")
+    assert sorted(((r.doc_id or 0), r.text) for r in got.collect()) == sorted(((i or 0), t) for i, t in rows)
+    assert got.groupBy("range").count().agg(F.max("count")).first()[0] < 200
+
+
 def test_fingerprints_of_odd_rows(spark, odd):
     assert fingerprint.with_next(odd).where("guest = 0").count() == 7
     one = odd.where("doc_id = 2")
@@ -99,7 +123,7 @@ def test_fingerprints_of_odd_rows(spark, odd):
 
 
 def test_sketches_merge_and_contain(spark):
-    text = [" ".join(f"x{i}" for i in range(k, k + n)) for k, n in ((0, 3000), (500, 900), (2900, 1200))]
+    text = [" ".join(f"x{i}" for i in range(k, k + n)) for k, n in ((0, 60000), (500, 18000), (59000, 12000))]
     df = spark.createDataFrame([tuple(text)], "a string, b string, c string")
     for c in "abc":
         df = fingerprint.with_sketch(df, c, f"s{c}")
@@ -123,7 +147,7 @@ def test_substring_dedup(spark, sf, rows):
 
 
 def test_substring_dedup_of_odd_rows(odd):
-    got = sorted((r.doc_id is not None, r.doc_id or 0, r.n_words, r.n_removed) for r in substring.deduplicated(odd, odd.columns).collect())
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.n_words, r.n_removed) for r in substring.deduplicated(odd, carry=True).collect())
     assert got == [(False, 0, 0, 0), (False, 0, 26, 0), (True, 2, 27, 26), (True, 4, 2, 0), (True, 4, 26, 26), (True, 4, 26, 26), (True, 9, 0, 0)]
 
 
@@ -318,7 +342,7 @@ def test_repeated_rows_are_packed_apart(odd):
 
 
 def test_chat(spark, tmp_path):
-    rows = [(1, 1, "assistant", "second \\ <|endoftext|> é 漢"), (1, 0, "user", "first\n"), (2, 0, "system", None), (2, 1, "assistant", ""), (2, 2, "assistant", " \n lead"), (None, 0, "assistant", "lost"), (3, 0, None, "x"), (3, 0, "user", "tie"), (3, 0, "user", "tie")]
+    rows = [(-7, 0, "user", "of the table"), (None, 3, "user", "lost too"), (1, 1, "assistant", "second \\ <|endoftext|> é 漢"), (1, 0, "user", "first\n"), (2, 0, "system", None), (2, 1, "assistant", ""), (2, 2, "assistant", " \n lead"), (None, 0, "assistant", "lost"), (3, 0, None, "x"), (3, 0, "user", "tie"), (3, 0, "user", "tie")]
     spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     con = duckdb.connect()
     con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
@@ -326,6 +350,8 @@ def test_chat(spark, tmp_path):
     names = [c[0] for c in cur.description]
     assert sorted(map(str, map(tuple, QUERIES["op7_chat"](spark, str(tmp_path)).select(*names).collect()))) == sorted(map(str, cur.fetchall()))
     text, spans = chat.render([("user", "a"), ("assistant", "b\\"), ("assistant", "<|endoftext|>")])
+    assert chat.mask([(0, 2), (2, 5), (5, 5), (5, 7), (7, 9)], [(1, 3), (6, 7)]) == [True, True, False, True, False]
+    assert chat.mask([(0, 1)], []) == [] + [False] and chat.mask([], [(0, 1)]) == []
     assert chat.parse(text) == [("user", "a"), ("assistant", "b\\"), ("assistant", "<|endoftext|>")] and [chat.unescape(text[a:b]) for a, b in spans] == ["b\\", "<|endoftext|>"]
 
 
@@ -593,5 +619,86 @@ def test_stages_return_documents(spark, sf):
         assert stage(spark, docs, sf).columns == docs.columns
 
 
+def clashing(df, names):
+    """The table with more columns, named like whatever an operator may use inside."""
+    return df.select("*", *[F.lit("mine").alias(n) for n in names if n not in df.columns])
+
+
+NAMES = "row w h l k _t _w _lines _s _p _h stay stays digest key cluster component unit side shard _shard n_words n_removed kept failure_bits word_chars n_shingles held_out range guest lows part_no rank _in _before length offset start sets n room places list of turns".split()
+
+
+def test_columns_with_any_names(spark, sf):
+    docs = clashing(spark.read.parquet(f"{sf}/documents.parquet").drop("n_words", "ids", "key", "shard", "kept"), NAMES)
+    plain = docs.select("doc_id", "text")
+    mine = [n for n in NAMES if n in docs.columns]
+    made = {
+        "ledger": quality.ledger(docs).select("doc_id", "failure_bits"),
+        "sketch": fingerprint.with_sketch(docs, "text", "sketch").select("doc_id", "sketch"),
+        "next": fingerprint.with_next(docs).select("doc_id", "guest"),
+        "dedup": substring.deduplicated(docs, carry=True).select("doc_id", "n_removed"),
+        "trie": bpe.encode_decode(docs).select("doc_id", "n_tokens"),
+        "pieces": packing.packed(packing.pieces(docs)).select("doc_id", "length"),
+        "jaccard": jaccard.clustered(docs).select("doc_id", "component_id"),
+        "lm": lm.scored(docs.withColumn("held_out", F.lit(False))).select("doc_id", "n_tokens"),
+    }
+    same = {
+        "ledger": quality.ledger(plain).select("doc_id", "failure_bits"),
+        "sketch": fingerprint.with_sketch(plain, "text", "sketch").select("doc_id", "sketch"),
+        "next": fingerprint.with_next(plain).select("doc_id", "guest"),
+        "dedup": substring.deduplicated(plain).select("doc_id", "n_removed"),
+        "trie": bpe.encode_decode(plain).select("doc_id", "n_tokens"),
+        "pieces": packing.packed(packing.pieces(plain)).select("doc_id", "length"),
+        "jaccard": jaccard.clustered(plain).select("doc_id", "component_id"),
+        "lm": lm.scored(plain.withColumn("held_out", F.lit(False))).select("doc_id", "n_tokens"),
+    }
+    for name, df in made.items():
+        assert sorted(map(str, df.collect())) == sorted(map(str, same[name].collect())), name
+    assert fingerprint.with_sketch(docs, "text", "sketch").where(" or ".join(f"`{n}` <> 'mine'" for n in mine)).isEmpty()
+
+
+def test_stages_carry_columns_of_any_names(spark, sf):
+    docs = clashing(spark.read.parquet(f"{sf}/documents.parquet").drop("n_words", "ids", "key", "shard", "kept"), NAMES)
+    mine = [n for n in NAMES if n in docs.columns]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, sf)
+        assert got.columns == docs.columns, name
+        assert got.where(" or ".join(f"`{n}` is null or `{n}` <> 'mine'" for n in mine)).isEmpty(), name
+        assert not got.isEmpty()
+
+
+def test_stage_keeps_one_row_of_each_group(spark, odd):
+    t = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    docs = spark.createDataFrame([(1, t), (4, t), (4, "other text"), (4, "other text"), (None, t), (None, "alone of all these"), (None, "alone of all these"), (8, None), (8, None), (None, "")], "doc_id bigint, text string")
+    got = corpus_pipeline.ngram_jaccard(spark, docs, "")
+    assert sorted((r.doc_id or 0, r.text or "") for r in got.collect()) == [(0, ""), (0, "alone of all these"), (1, t), (4, "other text"), (8, ""), (8, "")]
+    assert corpus_pipeline.ngram_jaccard(spark, odd, "").count() == 4
+
+
+def test_very_long_text(spark):
+    """One text of a million words among short ones, in every operator on documents."""
+    import random
+
+    rng = random.Random(1)
+    long = " ".join(f"w{rng.randrange(50_000)}" for _ in range(300_000))
+    docs = spark.createDataFrame([(1, "short one"), (2, long), (3, "a " + long), (4, None)], "doc_id bigint, text string")
+    assert quality.ledger(docs).agg(F.max("n_words")).first()[0] == 300_001
+    near = fingerprint.with_sketch(docs, "text", "s").alias("a").crossJoin(fingerprint.with_sketch(docs, "text", "s").alias("b")).where("a.doc_id = 2 and b.doc_id = 3")
+    assert near.select(fingerprint.likeness(F.col("a.s"), F.col("b.s"))).first()[0] > 0.99
+    assert {r.doc_id: r.n_removed for r in substring.deduplicated(docs).collect()} == {1: 0, 2: 0, 3: 300_000, 4: 0}
+    assert {r.doc_id: r.component_id for r in jaccard.clustered(docs).collect()} == {1: 1, 2: 2, 3: 2, 4: 4}
+    assert lm.scored(docs.withColumn("held_out", F.lit(False))).agg(F.max("n_tokens")).first()[0] == 300_002
+    assert packing.packed(packing.pieces(docs)).agg(F.max("length")).first()[0] == 2048
+
+
+def test_rows_of_other_operators(spark, odd, library):
+    """Null ids and repeated rows in the operators that work row by row."""
+    texts = [r.text or "" for r in odd.collect()]
+    got = bpe.encode_decode(odd)
+    assert sorted(r.decoded for r in got.collect()) == sorted(texts)
+    assert sorted(r.n_tokens for r in got.collect()) == sorted(len(library.encode(t).ids) for t in texts)
+    led = {(r.doc_id, r.text or "", r.n_words, r.failure_bits & 1) for r in quality.ledger(odd).collect()}
+    assert led == {(r.doc_id, r.text or "", len(split(r.text)), int(len(split(r.text)) < 20)) for r in odd.collect()}
+
+
 def test_words_of_the_contracts():
     assert split("a\x0bb\x0cc\rd\te\nf g\x1ch\xa0i") == re.findall(rb"[^\x20\x09-\x0D]+", "a\x0bb\x0cc\rd\te\nf g\x1ch\xa0i".encode())

@@ -3,9 +3,9 @@
 ledger() evaluates every rule once and keeps the measurements and one failure bit a rule. Policies are versioned
 masks over those bits, so that a policy can change, or be ablated, without reading a text again.
 
-Defined results: a null text is an empty text, which has no words and fails `few_words`; ties, repeated rows and null
-ids are rows like any other; other columns are passed on by ledger() unless they have the name of a measurement, and
-then the measurement replaces them.
+Defined results: a null text is an empty text, which has no words and fails `few_words`; an empty table gives no rows;
+ties, repeated rows and null ids are rows like any other, and a very long text is one row. recorded() passes the whole
+row on as a struct, so columns may have any names; ledger() spreads it, and a measurement replaces a column of its name.
 """
 
 from __future__ import annotations
@@ -38,12 +38,11 @@ def _covered(positions: Column) -> Column:
     return F.aggregate(gaps, F.lit(0).cast("long"), lambda a, g: a + g)
 
 
-def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the measurements and `failure_bits` to each row."""
-    made = {*MEASURES, "failure_bits"}
-    kept = [c for c in docs.columns if c not in made]
+def recorded(docs: DataFrame, text: str = "text") -> DataFrame:
+    """`row` (all columns as they came), the measurements and `failure_bits`, and nothing else."""
+    kept = ["row"]
     t = F.col("_t")
-    step = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("_t"))
+    step = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
     filled = F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\f\r", "")) > 0)
     step = step.select(*kept, "_t", words(t).alias("_w"), filled.alias("_lines"))
     starts = F.sequence(F.lit(1), F.size("_w") - (WINDOW - 1))
@@ -80,18 +79,29 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     return step.select(*kept, *MEASURES, F.explode(F.array(bits.cast("long"))).alias("failure_bits"))
 
 
+def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Adds the measurements and `failure_bits` to the columns; they replace columns of their names."""
+    made = {*MEASURES, "failure_bits"}
+    rows = recorded(docs, text)
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in made], *MEASURES, "failure_bits")
+
+
 def passes(version: str) -> Column:
     """Whether a ledger row passes a policy."""
     return F.col("failure_bits").bitwiseAND(F.lit(POLICIES[version])) == 0
 
 
 def ablation(rows: DataFrame, version: str) -> DataFrame:
-    """For each rule of a policy: the rows that fail it, and those that only it rejects, from the bits alone."""
+    """For each rule of a policy: the rows that fail it, and those that only it rejects, by bitwise aggregation of the ledger.
+
+    Rows are first added up by their failure bits under the policy's mask, which leaves a row for each combination that
+    occurs; the combinations are then taken apart by bit."""
     mask = POLICIES[version]
-    bits = F.col("failure_bits").bitwiseAND(F.lit(mask))
-    names = [name for name in RULES if BIT[name] & mask]
-    sums = [F.struct(F.lit(name).alias("rule"), F.coalesce(F.sum((bits.bitwiseAND(F.lit(BIT[name])) != 0).cast("long")), F.lit(0)).alias("failed"), F.coalesce(F.sum((bits == BIT[name]).cast("long")), F.lit(0)).alias("only_this")) for name in names]
-    return rows.agg(F.array(*sums).alias("r")).select(F.inline("r"))
+    patterns = rows.groupBy(F.col("failure_bits").bitwiseAND(F.lit(mask)).alias("bits")).agg(F.count("*").alias("n"))
+    rules = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(BIT[name]).cast("bigint").alias("bit")) for name in RULES if BIT[name] & mask]))
+    each = rows.sparkSession.range(1).select(rules.alias("r")).select("r.*")
+    met = each.join(patterns, F.col("bits").bitwiseAND(F.col("bit")) != 0, "left")
+    return met.groupBy("rule").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failed"), F.coalesce(F.sum(F.when(F.bit_count("bits") == 1, F.col("n"))), F.lit(0)).alias("only_this"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
