@@ -509,6 +509,7 @@ def test_jaccard_in_many_blocks(spark, sf, rows, monkeypatch, finer):
     monkeypatch.setattr(jaccard, "BLOCK_SETS", 4)
     monkeypatch.setattr(jaccard, "PIVOTS", 1)
     monkeypatch.setattr(jaccard, "FINER", finer)
+    monkeypatch.setattr(jaccard, "COPIES", 0 if finer else 16)
     large = found.where(F.size("shingles") > 30)
     edges = jaccard.heavy_links(large)
     names = {r.key: frozenset(r.shingles) for r in large.collect()}

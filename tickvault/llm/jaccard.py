@@ -17,10 +17,11 @@ not mostly their own; then from all shingles of those. What lists connect is a c
 1. A cluster that fits into a block is scanned at once: all intersections of a block come from products of its incidence
    matrix, and only a spanning forest of the links leaves it. Larger clusters are dealt to blocks, each with the same
    few pivots, which joins a group of near copies without ever making its pairs.
-2. In those, the lists are scanned that still hold sets of two components; each list is a block of its own. A list
-   that is too long is cut finer until it fits: by size, as linked sets have similar ones, then by a second and a third
-   shingle, as linked sets share k of their first size - needed + k shingles. A list that still does not fit is scanned
-   block against block.
+2. In those, the lists are scanned that still hold sets of two components; each list is a block of its own. In a list
+   that is too long, what is outside its largest component meets the whole list, block against block; where that would
+   copy the list too often, it is cut finer first: by size, as linked sets have similar ones, then by a second and a
+   third shingle, as linked sets share k of their first size - needed + k shingles. A cluster whose lists have more rows
+   than its blocks would is scanned like one long list.
 
 So sets meet only over what they share, and no link between components is missed. Shingles, lists, clusters and keys
 that hold much of the rows are told apart by counts (of a sample where that is cheaper) and are not brought to one task.
@@ -41,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickvault.llm.common import DIGESTS, stored, table, width
-from tickvault.llm.graph import components, hot_keys, matched, parted
+from tickvault.llm.graph import components, hot_keys, matched, parted, salted
 from tickvault.llm.tokens import slices
 
 SHINGLE, THRESHOLD = 4, 85
@@ -49,8 +50,10 @@ SHINGLE, THRESHOLD = 4, 85
 COUNTED = -(1 << 63) + (1 << 64) * 3 // 10
 #: Sets, and shingles, of a block; sets of a cluster that all its blocks hold.
 BLOCK_SETS, BLOCK_SHINGLES, PIVOTS = 1024, 1 << 21, 24
-#: How often a list that is too long is cut finer: by size, then by further shingles.
-FINER = 3
+#: Stands for the number of sets that have a hot shingle.
+LAST = 1 << 40
+#: How often a list is cut finer (by size, then by further shingles) that would be copied more often than COPIES times.
+FINER, COPIES = 3, 16
 #: One in so many sets tells which shingles and subsets are hot.
 SAMPLED = 16
 #: Parts of the hash of an id.
@@ -270,15 +273,15 @@ def _sampled(key: str) -> Column:
 
 
 def shared(rows: DataFrame, hot: list[int]) -> DataFrame:
-    """Rows (shingle, key, ...) of shingles that two sets have or more, with their number `sets`; a (shingle, key) comes once. Rows of hot shingles are counted apart, by broadcast."""
-    by_shingle = lambda r: r.withColumn("sets", F.count("*").over(Window.partitionBy("shingle")))
+    """Rows (shingle, key, ...) of shingles that two sets have or more, with their number `sets`; a (shingle, key) comes once.
+
+    Hot shingles need no number: they come after all others, in any order that is the same for all sets."""
+    by_shingle = lambda r: r.withColumn("sets", F.count("*").over(Window.partitionBy("shingle"))).where("sets > 1")
     deal = lambda r, *by: r.repartition(width(rows.sparkSession), *by).dropDuplicates(["shingle", "key"])
     if not hot:
-        return by_shingle(deal(rows, "shingle")).where("sets > 1")
+        return by_shingle(deal(rows, "shingle"))
     others, many = parted(rows, "shingle", hot)
-    many = deal(many, "shingle", "key")
-    counts = F.broadcast(many.groupBy("shingle").agg(F.count("*").alias("sets")))
-    return by_shingle(deal(others, "shingle")).where("sets > 1").unionByName(many.join(counts, "shingle").where("sets > 1").select(*rows.columns, "sets"))
+    return by_shingle(deal(others, "shingle")).unionByName(deal(many, "shingle", "key").withColumn("sets", F.lit(LAST).cast("bigint")))
 
 
 def places(sets: DataFrame) -> DataFrame:
@@ -327,24 +330,34 @@ def _finer(lists: DataFrame, by_key: DataFrame, step: int) -> DataFrame:
     return more.select(*lists.columns).dropDuplicates(["list", "key"])
 
 
-def _mixed(lists: DataFrame) -> DataFrame:
-    """Lists that hold sets of two components, once where lists are the same, with `fits`."""
+def _told(lists: DataFrame, of: str) -> DataFrame:
+    """(of, c, m, sig, main, o): sets and shingles of each list, a signature of its sets, its largest component, and the sets outside that."""
     mark = F.shiftrightunsigned(F.xxhash64("key"), 24)
-    stats = lists.groupBy("list").agg(F.count("*").alias("c"), F.sum("n").alias("m"), F.min("component").alias("low"), F.max("component").alias("high"), F.sum(mark).alias("sig")).where("low <> high")
-    stats = stats.groupBy("c", "m", "sig").agg(F.min("list").alias("list"))
-    return matched(lists, "list", stats.select("list", ((F.col("c") <= BLOCK_SETS) & (F.col("m") <= BLOCK_SHINGLES)).alias("fits")), hot_keys(lists, "list"), "inner")
+    counts = lists.groupBy(of, "component").agg(F.count("*").alias("c"), F.sum("n").alias("m"), F.sum(mark).alias("sig"))
+    told = counts.groupBy(of).agg(F.sum("c").alias("c"), F.sum("m").alias("m"), F.sum("sig").alias("sig"), F.max(F.struct("c", "component")).alias("main"))
+    return told.select(of, "c", "m", "sig", F.col("main.component").alias("main"), (F.col("c") - F.col("main.c")).alias("o"))
+
 
+def _blocks(n: Column) -> Column:
+    return F.ceil(n / BLOCK_SETS).cast("int")
 
-def _between(lists: DataFrame, sets: DataFrame) -> DataFrame:
-    """Units of lists too long for a block: what is outside a list's largest component against the whole list, block by block."""
-    counts = lists.groupBy("list", "component").agg(F.count("*").alias("c"))
-    main = counts.groupBy("list").agg(F.max(F.struct("c", "component")).alias("main"), F.sum("c").alias("c"))
-    main = main.select("list", F.col("main.component").alias("main"), F.ceil((F.col("c") - F.col("main.c")) / BLOCK_SETS).cast("int").alias("o_blocks"), F.ceil(F.col("c") / BLOCK_SETS).cast("int").alias("n_blocks"))
-    rows = matched(lists.select("list", "key", "component"), "list", main, hot_keys(lists, "list"), "inner")
+
+def _mixed(lists: DataFrame) -> DataFrame:
+    """Lists that hold sets of two components, once where lists are the same, with `c`, `o`, `main`, and the `way` to scan each: as a block, block against block, or finer."""
+    told = _told(lists, "list").where("o > 0")
+    told = told.groupBy("c", "m", "sig").agg(F.min(F.struct("list", "main", "o")).alias("l")).select("l.*", "c", "m")
+    fits = (F.col("c") <= BLOCK_SETS) & (F.col("m") <= BLOCK_SHINGLES)
+    way = F.when(fits, "block").when(_blocks(F.col("o")) <= COPIES, "between").otherwise("finer")
+    return salted(lists, "list", told.select("list", "main", "o", "c", way.alias("way")), "key")
+
+
+def _between(lists: DataFrame) -> DataFrame:
+    """Units (unit, side, key) of lists too long for a block: what is outside a list's largest component against the whole list, block by block."""
+    rows = lists.select("list", "key", "component", "main", _blocks(F.col("o")).alias("o_blocks"), _blocks(F.col("c")).alias("n_blocks"))
     block = lambda seed, n: F.pmod(F.xxhash64("key", F.lit(seed)), F.col(n)).cast("int")
     outside = rows.where("component <> main").select("list", "key", block(2, "o_blocks").alias("o_block"), F.explode(_spread(F.col("n_blocks"))).alias("block"), F.lit(0).alias("side"))
     inside = rows.select("list", "key", F.explode(_spread(F.col("o_blocks"))).alias("o_block"), block(3, "n_blocks").alias("block"), F.lit(1).alias("side"))
-    return outside.unionByName(inside).join(sets, "key").select(F.xxhash64("list", "block", "o_block").alias("unit"), "side", "key", "shingles")
+    return outside.unionByName(inside).select(F.xxhash64("list", "block", "o_block").alias("unit"), "side", "key")
 
 
 def heavy_links(sets: DataFrame) -> DataFrame:
@@ -356,30 +369,34 @@ def heavy_links(sets: DataFrame) -> DataFrame:
     rows = clusters.withColumnRenamed("id", "key").withColumnRenamed("component", "cluster").join(by_key.select("key", "n"), "key")
     sizes = rows.groupBy("cluster").agg(F.count("*").alias("c"), F.sum("n").alias("m"))
     sizes = sizes.withColumn("n_blocks", F.greatest(F.ceil(F.col("c") / BLOCK_SETS), F.ceil(F.col("m") / BLOCK_SHINGLES)).cast("int"))
-    rows = stored(matched(rows, "cluster", sizes, hot_keys(rows, "cluster"), "inner"), "clusters")
+    rows = stored(salted(rows, "cluster", sizes, "key"), "clusters")
     block = F.pmod(F.xxhash64("key"), F.col("n_blocks")).cast("int")
     pivot = (F.col("n_blocks") > 1) & (F.pmod(F.xxhash64("key", F.lit(1)), F.col("c")) < PIVOTS)
     units = rows.withColumn("block", F.explode(F.when(pivot, _spread(F.col("n_blocks"))).otherwise(F.array(block)))).join(sets, "key")
     proved = stored(_scan(units.withColumn("unit", F.xxhash64("cluster", "block")).withColumn("side", F.lit(0))), "links")
-    large = rows.where("n_blocks > 1").select("key")
+    large = rows.where("n_blocks > 1").select("key", "cluster", "n")
     if large.isEmpty():
         return proved
-    large = large.join(components(proved).withColumnRenamed("id", "key"), "key", "left").select("key", F.coalesce("component", "key").alias("component"))
-    rest = lists.join(large, "key").select(F.xxhash64("shingle").alias("list"), F.array("shingle").alias("used"), "key", "n", "component")
-    units = []
+    large = stored(large.join(components(proved).withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key")), "large")
+    rest = lists.drop("n").join(large, "key").select(F.xxhash64("shingle").alias("list"), F.array("shingle").alias("used"), "key", "n", "component", "cluster")
+    rest = stored(_mixed(stored(rest, "lists")), "mixed")
+    # a cluster is scanned block against block where that takes fewer rows than its lists
+    cost = rest.groupBy("cluster").agg(F.count("*").alias("on_lists"))
+    told = _told(large, "cluster").join(cost, "cluster").withColumn("in_blocks", F.col("c") * _blocks(F.col("o")) + F.col("o") * _blocks(F.col("c")) <= F.col("on_lists"))
+    told = stored(told.select("cluster", "main", "c", "o", "in_blocks"), "told")
+    units = _between(salted(large, "cluster", told.where("in_blocks").drop("in_blocks"), "key").withColumnRenamed("cluster", "list"))
+    rest = salted(rest, "cluster", told.where("not in_blocks").select("cluster"), "key").drop("cluster")
     for step in range(FINER + 1):
-        rest = stored(_mixed(stored(rest, "lists")), "mixed")
-        units.append(rest.where("fits").join(sets, "key").select(F.col("list").alias("unit"), F.lit(0).alias("side"), "key", "shingles"))
-        rest = rest.where("not fits").drop("fits")
-        if rest.isEmpty():
-            break
+        units = units.unionByName(rest.where("way = 'block'").select(F.col("list").alias("unit"), F.lit(0).alias("side"), "key"))
+        between, rest = rest.where("way = 'between'"), rest.where("way = 'finer'")
         if step == FINER:
-            units.append(_between(rest, sets))
-        else:
-            rest = _finer(rest, by_key, step)
-    for some in units:
-        proved = proved.unionByName(stored(_scan(some), "links"))
-    return proved
+            between, rest = between.unionByName(rest), None
+        units = units.unionByName(_between(between))
+        if rest is None or rest.isEmpty():
+            break
+        rest = stored(_finer(rest.select("list", "used", "key", "n", "component"), by_key, step), "lists")
+        rest = stored(_mixed(rest), "mixed")
+    return proved.unionByName(stored(_scan(units.join(sets, "key")), "links"))
 
 
 def clustered(docs: DataFrame) -> DataFrame:
@@ -395,7 +412,7 @@ def clustered(docs: DataFrame) -> DataFrame:
     named = keys.where("key is not null").groupBy("key").agg(least.alias("least")).join(labels.withColumnRenamed("id", "key"), "key", "left")
     named = stored(named.select("key", "least", F.coalesce("component", "key").alias("component")), "named")
     of = named.groupBy("component").agg(F.min("least").alias("first"))
-    by_key = matched(named, "component", of, hot_keys(named, "component"), "inner").select("key", "first")
+    by_key = salted(named, "component", of, "key").select("key", "first")
     rows = matched(keys, "key", by_key, hot_keys(keys, "key"))
     stays = F.col("key").isNull() | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest")))
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.coalesce("first.doc_id", "doc_id"))
