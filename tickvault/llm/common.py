@@ -57,9 +57,9 @@ def measured(docs: DataFrame, text: str = "text") -> tuple[int, int]:
     return tuple(docs.agg(F.coalesce(F.sum(F.octet_length(text).cast("bigint")), F.lit(0)), F.count("*")).first())
 
 
-def shards(spark: SparkSession, total: int, size: int) -> int:
-    """The number of shards of about `size` bytes; four for each shuffle partition at least."""
-    return max(4 * width(spark), -(-total // size))
+def shards(spark: SparkSession, total: int, size: int, least: int = 4) -> int:
+    """The number of shards of about `size` bytes; `least` for each shuffle partition at least."""
+    return max(least * width(spark), -(-total // size))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -69,6 +69,8 @@ def shared_dir(spark: SparkSession) -> str:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         set_dir = known.get() if known.isDefined() else None
     if not set_dir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         set_dir = tempfile.mkdtemp(prefix="tickvault-")
         spark.conf.set("spark.checkpoint.dir", set_dir)
     return set_dir.rstrip("/")

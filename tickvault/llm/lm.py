@@ -12,7 +12,7 @@ words and bigrams to their slices, and the slices send levels, counts and what e
 q is the quantised count, D the discount; where c(p) is 0 it is P1 alone. The probabilities that follow a word add up to
 one, but for bigrams that the filter makes up. Single words are counted exactly, in the same exchange.
 
-Words that start more than their share of the bigrams (HEAVY) have them dealt to all slices by both words; which words
+Words that start more than their share of the bigrams have them dealt to all slices by both words; which words
 these are comes from a sample of at most SAMPLE documents. It only says where a bigram is counted, so scores do not
 depend on the cluster: sample and slices follow the data alone, and shards do not matter.
 
@@ -30,11 +30,14 @@ from pyspark.sql import functions as F
 from tickvault.llm.common import DIGESTS, measured, shards, stored, table
 
 BITS_AN_ENTRY, PROBES = 16, 4
-DISCOUNT = 0.75
+#: The discount, and the parts of one that discounted counts are whole in.
+DISCOUNT, QUARTERS = 0.75, 4
 #: Text bytes of a shard; bigram entries for one slice are about as many as for one shard.
 SHARD_BYTES = 16 << 20
-#: A word is heavy if it starts more than this share of the sample's bigrams, so there are fewer than HEAVY such words; rows of the sample.
-HEAVY, SAMPLE = 256, 4096
+#: A word is heavy if it starts more bigrams of the sample than four slices have on average; there are HEAVY such words at most. Rows of the sample.
+HEAVY, SAMPLE = 1 << 16, 4096
+#: Bytes of the hash of a bigram's second word; its first has eight.
+SECOND = 6
 END = 0x5EED0F7E47E4D000
 MIX, STEP = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
@@ -134,6 +137,20 @@ def discounted(levels):
     return np.maximum(count_of(levels) - DISCOUNT, 0)
 
 
+def _short(hashes) -> bytes:
+    import numpy as np
+
+    return np.ascontiguousarray(hashes.astype("<u8")).view("u1").reshape(-1, 8)[:, :SECOND].tobytes()
+
+
+def _long(data: bytes):
+    import numpy as np
+
+    out = np.zeros((len(data) // SECOND, 8), "u1")
+    out[:, :SECOND] = np.frombuffer(data, "u1").reshape(-1, SECOND)
+    return out.view("<u8").ravel()
+
+
 def _packed(counts, kind: str) -> tuple[bytes, bytes]:
     """Counts in a byte each, and those that do not fit beside."""
     import numpy as np
@@ -183,7 +200,7 @@ class Layout:
 
 
 ASKED = "slice int, shard int, words binary, few_w binary, many_w binary, runs_few binary, runs_many binary, firsts binary, seconds binary, few binary, many binary, n bigint"
-ANSWERED = "slice int, shard int, levels binary, few_w binary, many_w binary, sums binary, heavy array<struct<word: bigint, sum: double>>, words bigint, n bigint"
+ANSWERED = "slice int, shard int, levels binary, few_w binary, many_w binary, few_s binary, many_s binary, heavy array<struct<word: bigint, sum: double>>, words bigint, n bigint"
 
 
 def _arrow(rows: list[tuple], ddl: str) -> pa.Table:
@@ -209,7 +226,7 @@ def _asked(log_slices: int, heavy: list[int]):
         rows = []
         for k, a_w, b_w, a, b in zip(slices.tolist(), *cut_w.tolist(), *cut.tolist()):
             w, p = slice(a_w, b_w), slice(a, b)
-            rows.append((k, key[0].as_py(), own.words[w].tobytes(), *_packed(count_w[w], "<u4"), *_packed(runs[w], "<u4"), own.words[own.first[p][own.heavy[p]]].tobytes(), own.words[own.second[p]].tobytes(), *_packed(count[p], "<u4"), 0 if rows else int(train.sum())))
+            rows.append((k, key[0].as_py(), own.words[w].tobytes(), *_packed(count_w[w], "<u4"), *_packed(runs[w], "<u4"), own.words[own.first[p][own.heavy[p]]].tobytes(), _short(own.words[own.second[p]]), *_packed(count[p], "<u4"), 0 if rows else int(train.sum())))
         return _arrow(rows, ASKED)
 
     return run
@@ -229,7 +246,7 @@ def _answered(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     is_heavy = [np.arange(len(f)) >= len(f) - len(h) // 8 for f, h in zip(firsts, get["firsts"])]
     sizes = [len(f) for f in firsts]
     first, heavy = np.concatenate(empty + firsts), np.concatenate([np.empty(0, bool), *is_heavy])
-    pair = mixed(first, np.concatenate(empty + [np.frombuffer(b, "<u8") for b in get["seconds"]]))
+    pair = mixed(first, np.concatenate(empty + [_long(b) for b in get["seconds"]]))
     keys, some, at = np.unique(pair, return_index=True, return_inverse=True)
     total = np.bincount(at, np.concatenate([_unpacked(f, m, "<u4") for f, m in zip(get["few"], get["many"])]), len(keys)).astype("i8")
     trained = total > 0
@@ -244,8 +261,8 @@ def _answered(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     own, where = np.unique(of[heavy[some]], return_inverse=True)
     partial = [{"word": w, "sum": s} for w, s in zip(own.view("i8").tolist(), np.bincount(where, worth[heavy[some]], len(own)).tolist())]
     cut, cut_w = np.cumsum(sizes)[:-1], np.cumsum([len(w) for w in words])[:-1]
-    back = zip(get["shard"], np.split(levels.astype("u1")[at], cut), np.split(total_w[at_w], cut_w), np.split(sums[at_w], cut_w), get["n"])
-    out = [(key[0].as_py(), shard, ls.tobytes(), *_packed(c, "<u8"), s.astype("<f8").tobytes(), [] if i else partial, 0 if i else int((total_w > 0).sum()), n) for i, (shard, ls, c, s, n) in enumerate(back)]
+    back = zip(get["shard"], np.split(levels.astype("u1")[at], cut), np.split(total_w[at_w], cut_w), np.split(np.rint(sums[at_w] * QUARTERS).astype("i8"), cut_w), get["n"])
+    out = [(key[0].as_py(), shard, ls.tobytes(), *_packed(c, "<u8"), *_packed(s, "<u8"), [] if i else partial, 0 if i else int((total_w > 0).sum()), n) for i, (shard, ls, c, s, n) in enumerate(back)]
     return _arrow(out, ANSWERED)
 
 
@@ -254,10 +271,10 @@ def _scored(n_train: int, n_distinct: int, log_slices: int, heavy: dict[int, flo
         import numpy as np
 
         own = Layout(docs.column("text").to_pylist(), 64 - log_slices, list(heavy))
-        get = {n: answers.sort_by("slice").column(n).to_pylist() for n in ("levels", "few_w", "many_w", "sums")}
+        get = {n: answers.sort_by("slice").column(n).to_pylist() for n in ("levels", "few_w", "many_w", "few_s", "many_s")}
         worth = discounted(np.concatenate([np.empty(0, "u1"), *[np.frombuffer(b, "u1") for b in get["levels"]]]).astype("i8"))
         count = np.concatenate([np.empty(0, "i8"), *[_unpacked(f, m, "<u8") for f, m in zip(get["few_w"], get["many_w"])]])
-        sums = np.concatenate([np.empty(0), *[np.frombuffer(b, "<f8") for b in get["sums"]]])
+        sums = np.concatenate([np.empty(0), *[_unpacked(f, m, "<u8") / QUARTERS for f, m in zip(get["few_s"], get["many_s"])]])
         for word, total in heavy.items():
             sums[own.words == np.uint64(word)] = total
         c = count[own.at]
@@ -292,29 +309,29 @@ def _starts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(words.view("i8")), pa.array(n.astype("i8"))], ["word", "n"])
 
 
-def heavy_words(docs: DataFrame, rows: int) -> list[int]:
-    """Words that start more than one in HEAVY of the bigrams of a sample of about SAMPLE documents: fewer than HEAVY words."""
+def heavy_words(docs: DataFrame, rows: int, slices: int) -> list[int]:
+    """Words that start more bigrams of a sample of about SAMPLE documents than four slices have on average, the most frequent HEAVY at most."""
     one_in = -(-max(rows, 1) // SAMPLE)
     some = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0).select("text").mapInArrow(_starts, "word bigint, n bigint")
     counts = stored(some.groupBy("word").agg(F.sum("n").alias("n")), "starts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return sorted(r["word"] & 0xFFFFFFFFFFFFFFFF for r in counts.where(F.col("n") * HEAVY > total).collect())
+    return sorted(r["word"] & 0xFFFFFFFFFFFFFFFF for r in counts.where(F.col("n") * slices > 4 * total).orderBy(F.col("n").desc(), "word").limit(HEAVY).collect())
 
 
 def scored(docs: DataFrame) -> DataFrame:
     """Scores (doc_id, text, held_out) rows by a model of those that are not held out."""
     total, rows = measured(docs)
-    n_shards = shards(docs.sparkSession, total, SHARD_BYTES)
+    n_shards = shards(docs.sparkSession, total, SHARD_BYTES, 1)
     log_slices = max(8, (total // (2 * SHARD_BYTES)).bit_length())
-    heavy = heavy_words(docs, rows)
+    heavy = heavy_words(docs, rows, 1 << log_slices)
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_shards)).cast("int").alias("shard")
     parts = docs.select(shard, "doc_id", "text", "held_out").groupBy("shard")
     answers = stored(parts.applyInArrow(_asked(log_slices, heavy), ASKED).groupBy("slice").applyInArrow(_answered, ANSWERED), "answers")
     n_train, n_distinct = answers.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
     sums = dict.fromkeys(heavy, 0.0)
     if heavy:
-        sums |= {r["word"] & 0xFFFFFFFFFFFFFFFF: r["sum"] for r in answers.select(F.inline("heavy")).groupBy("word").agg(F.sum("sum").alias("sum")).collect()}  # fewer than HEAVY rows
-    answers = answers.select("shard", "slice", "levels", "few_w", "many_w", "sums")
+        sums |= {r["word"] & 0xFFFFFFFFFFFFFFFF: r["sum"] for r in answers.select(F.inline("heavy")).groupBy("word").agg(F.sum("sum").alias("sum")).collect()}  # HEAVY rows at most
+    answers = answers.select("shard", "slice", "levels", "few_w", "many_w", "few_s", "many_s")
     return parts.cogroup(answers.groupBy("shard")).applyInArrow(_scored(n_train, n_distinct, log_slices, sums), SCORED)
 
 
