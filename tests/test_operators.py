@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import random
 
 import pytest
@@ -182,3 +183,60 @@ def test_stream_equals_batch(spark, tmp_path):
     assert now() == before
     marks = spark.createDataFrame([("X", "f", 3)], "inst_id string, field string, mark bigint")
     assert {r.time_ns for r in stream.incremental(rows, marks, ["inst_id", "field"]).collect()} == {4, 5}
+
+
+def test_compaction_loses_nothing(spark, tmp_path):
+    """The last batch runs again after a compaction, a compaction stops before it deletes, and a delta comes in between."""
+    from tickvault.operators.lww import latest
+
+    keys, order, to = ["k"], ["n"], f"{tmp_path}/out"
+
+    def batch(number, rows):
+        latest(spark.createDataFrame(rows, "k string, n bigint"), keys, order).write.mode("overwrite").parquet(f"{to}/{stream.DELTA}={number:012d}")
+
+    now = lambda: {r.k: r.n for r in stream.current(spark, to, keys, order).collect()}
+    batch(0, [("a", 1), ("b", 1)])
+    batch(1, [("c", 2)])
+    stream.compact(spark, to, keys, order)
+    assert now() == {"a": 1, "b": 1, "c": 2}
+    batch(1, [("c", 2)])
+    assert now() == {"a": 1, "b": 1, "c": 2}
+    batch(2, [("a", 5)])
+    gone, stream.store.delete = stream.store.delete, lambda *a: None
+    try:
+        stream.compact(spark, to, keys, order)
+    finally:
+        stream.store.delete = gone
+    batch(3, [("d", 6)])
+    assert now() == {"a": 5, "b": 1, "c": 2, "d": 6}
+    stream.compact(spark, to, keys, order)
+    stream.compact(spark, to, keys, order)
+    assert now() == {"a": 5, "b": 1, "c": 2, "d": 6}
+
+
+def test_replacing_a_folder_can_stop_anywhere(spark, tmp_path):
+    from tickvault.sources import store
+
+    to = f"{tmp_path}/d"
+    spark.range(3).write.parquet(to)
+    spark.range(5).write.parquet(to + "._staged")
+    os.rename(to, to + store.ASIDE)  # stopped after the first rename
+    assert store.recovered(spark, to) and spark.read.parquet(to).count() == 3
+    store.replace_dir(spark, to + "._staged", to)
+    assert spark.read.parquet(to).count() == 5 and not os.path.exists(to + store.ASIDE)
+    spark.range(2).write.parquet(to + store.ASIDE)  # stopped before the old one was deleted
+    assert store.recovered(spark, to) and spark.read.parquet(to).count() == 5 and not os.path.exists(to + store.ASIDE)
+    store.write_text(spark, f"{to}/t", "one")
+    store.write_text(spark, f"{to}/t", "two")
+    assert store.read_text(spark, f"{to}/t") == "two"
+
+
+def test_log_sequences_of_large_entries():
+    """More values of one key in one entry than any fixed share of a sequence would hold; later rows come later."""
+    from tickvault.sources import wal
+
+    n = (1 << 20) + 5
+    data = wal.write_entry([(b"m,instId=A#!~#f", wal.INTEGER, [(7, k) for k in range(n)])]) + wal.write_entry([(b"m,instId=A#!~#f", wal.INTEGER, [(7, -1)])]) + wal.delete_entry([b"x"])
+    seqs = [x for b in wal.logged(1, 3, data) for x in b.column("seq").to_pylist()]
+    assert len(seqs) == n + 2 and all(a < b for a, b in zip(seqs, seqs[1:]))
+    assert max(seqs) < min(x for b in wal.logged(1, 4, data) for x in b.column("seq").to_pylist())

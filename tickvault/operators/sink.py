@@ -20,8 +20,9 @@ def codec(name: str) -> str:
     return name
 
 
-def write(df: DataFrame, path: str, order: Sequence[str | Column], rows_per_file: int = 1_000_000, compression: str = "zstd", by: Sequence[str] = (), level: int = 9) -> None:
+def write(df: DataFrame, path: str, order: Sequence[str | Column], rows_per_file: int = 1_000_000, compression: str = "zstd", by: Sequence[str] = (), level: int = 9, told: dict | None = None) -> dict | None:
     """Parts of at most rows_per_file rows, in order within each part; staged first, then put in place of what was there.
+    With `told`, arguments of describe(), the sidecars are staged too, so no dataset is ever there without them.
 
     With `by` there is a folder for each value, written from ranges of (by, order): a large one is spread over tasks."""
     spark = df.sparkSession
@@ -30,7 +31,9 @@ def write(df: DataFrame, path: str, order: Sequence[str | Column], rows_per_file
     rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     writer = rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).option("compression", codec(compression)).option("parquet.compression.codec.zstd.level", level).option("parquet.writer.version", "PARQUET_2_0")
     (writer.partitionBy(*by) if by else writer).parquet(staged)
+    summary = None if told is None else describe(spark, staged, **told)
     store.replace_dir(spark, staged, path)
+    return summary
 
 
 def part_index(spark: SparkSession, path: str, time: str = "time_ns", tags: Sequence[str] = ()) -> DataFrame:
@@ -81,7 +84,7 @@ def rebuild_checkpoint(spark: SparkSession, path: str, series: DataFrame, tags:
 
 
 #: What must not change between the runs of an export into one dataset.
-IDENTITY = ("measurement", "database", "start", "end", "tags", "tag_regex", "series_key", "fields", "order")
+IDENTITY = ("measurement", "database", "start", "end", "limit", "tags", "tag_regex", "series_key", "fields")
 
 
 def same_export(before: dict, now: dict) -> None:
@@ -92,7 +95,7 @@ def same_export(before: dict, now: dict) -> None:
 
 def no_orphans(spark: SparkSession, path: str) -> None:
     """An error if a folder has parts but nothing that tells where they come from."""
-    if store.exists(spark, path) and not any(store.exists(spark, f"{path}/{n}") for n in (SUMMARY, CHECKPOINT, "summary.json")):
+    if store.recovered(spark, path) and not any(store.exists(spark, f"{path}/{n}") for n in (SUMMARY, CHECKPOINT, "summary.json")):
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path")
         if not files.isEmpty():
             raise ValueError(f"{path} has parts without a summary or a checkpoint")

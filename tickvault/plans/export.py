@@ -60,19 +60,22 @@ def export_book(spark: SparkSession, tsm_root: str, out: str, wal_root: str | No
         return before
     if stop_after == "merge":
         return now
-    sink.write(book(points), out, ["time_ns"], rows_per_file, compression, by=["inst_id"])
-    return sink.describe(spark, out, "order book", extra=now)
+    return sink.write(book(points), out, ["time_ns"], rows_per_file, compression, by=["inst_id"], told={"measurement": "order book", "extra": now})
 
 
-def export_measurement(spark: SparkSession, url: str, database: str, measurement: str, out: str, start: int | None = None, end: int | None = None, limit: int | None = None, tags: Mapping[str, str] | None = None, rows_per_file: int = 1_000_000, compression: str = "zstd", allow_excluded: bool = False) -> dict:
-    """A measurement over HTTP to a dataset: a partition a series, in the order of series and time."""
+def export_measurement(spark: SparkSession, url: str, database: str, measurement: str, out: str, start: int | None = None, end: int | None = None, limit: int | None = None, tags: Mapping[str, str] | None = None, rows_per_file: int = 1_000_000, compression: str = "zstd", allow_excluded: bool = False, tag_regex: tuple[str, str] | None = None, series_key: str | None = None, resume: bool = False) -> dict:
+    """A measurement over HTTP to a dataset: a partition a series, in the order of series and time.
+
+    Series are chosen by equal tags, by a tag with a match for a pattern (tag, pattern), or by their key. With `resume`,
+    a dataset of the same export is kept, and only what is later than the last time of each of its series is asked for. Answers are
+    stored before they are ordered, so each series is fetched once."""
     filters.allowed(measurement, allow_excluded)
     fields, tag_names = http.field_types(url, database, measurement), http.tag_keys(url, database, measurement)
-    identity = {"measurement": measurement, "database": database, "start": start, "end": end, "tags": dict(tags or {}), "fields": fields}
+    identity = {"measurement": measurement, "database": database, "start": start, "end": end, "limit": limit, "tags": dict(tags or {}), "tag_regex": list(tag_regex) if tag_regex else None, "series_key": series_key, "fields": fields}
+    sink.no_orphans(spark, out)
     before = store.read_json(spark, f"{out}/{sink.SUMMARY}")
     if before:
         sink.same_export(before.get("identity", {}), json.loads(json.dumps(identity)))
-    sink.no_orphans(spark, out)
     keys = http.series_keys(url, database, measurement)
     if not keys:
         return {"measurement": measurement, "rows": 0, "completed": True}
@@ -80,10 +83,23 @@ def export_measurement(spark: SparkSession, url: str, database: str, measurement
     from tickvault.functions.series import parse_series_key
 
     parsed = series.select("series_key", parse_series_key(F.col("series_key"))["tags"].alias("tags")).where(filters.tags_equal(F.col("tags"), tags or {}))
-    queries = [http.select_query(measurement, r["tags"], start, end, limit=limit) for r in parsed.orderBy("series_key").collect()]
-    rows = text.chunk_rows(http.chunks(spark, url, database, queries), fields, tag_names)
+    if tag_regex is not None:
+        parsed = filters.tag_matches(parsed, "tags", *tag_regex)
+    if series_key is not None:
+        parsed = filters.exact_series(parsed, "series_key", series_key)
+    have, marks = (spark.read.parquet(out) if resume and before else None), {}
+    if have is not None:  # a row a series
+        marks = {tuple(r[t] for t in tag_names): r["mark"] for r in have.groupBy(*tag_names).agg(F.max("time").alias("mark")).collect()}
+    chosen = [r["tags"] for r in parsed.orderBy("series_key").collect()]
+    queries = [http.select_query(measurement, own, start, end, marks.get(tuple(own.get(t) for t in tag_names)), limit) for own in chosen]
+    fetched = out.rstrip("/") + "._chunks"
+    http.chunks(spark, url, database, queries).write.mode("overwrite").parquet(fetched)
+    rows = text.chunk_rows(spark.read.parquet(fetched), fields, tag_names)
+    if have is not None:
+        rows = have.select(rows.columns).unionByName(rows)
     order = [*sorted(tag_names), "time"]
     if limit is not None:
         rows = rows.orderBy(*order).limit(limit)
-    sink.write(rows, out, order, rows_per_file, compression)
-    return sink.describe(spark, out, measurement, "time", tag_names, {"identity": identity})
+    summary = sink.write(rows, out, order, rows_per_file, compression, told={"measurement": measurement, "time": "time", "tags": tag_names, "extra": {"identity": identity}})
+    store.delete(spark, fetched)
+    return summary

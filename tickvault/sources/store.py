@@ -30,15 +30,22 @@ def find(spark: SparkSession, root: str, pattern: str) -> list[str]:
     return sorted(found)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _at(spark, path)
+    fs.delete(p, True)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Writes beside the path and renames, so readers see the old text or the new one."""
+    """Writes beside the path and renames over it, so readers see the old text or the new one."""
     fs, p = _at(spark, path)
     _, part = _at(spark, path + ".part")
     out = fs.create(part, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(p, False)
-    fs.rename(part, p)
+    jvm = spark._jvm
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(part), fs.makeQualified(p), options)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -66,9 +73,31 @@ def read_json(spark: SparkSession, path: str):
 
 
 def replace_dir(spark: SparkSession, staged: str, final: str) -> None:
+    """Puts a staged folder in place of another. The old one is renamed aside first and deleted last; `recovered` brings it back after a crash in between."""
     fs, a = _at(spark, staged)
     _, b = _at(spark, final)
-    fs.delete(b, True)
+    _, old = _at(spark, final.rstrip("/") + ASIDE)
+    recovered(spark, final)
     fs.mkdirs(b.getParent())
+    if fs.exists(b) and not fs.rename(b, old):
+        raise OSError(f"{final} could not be put aside")
     if not fs.rename(a, b):
+        fs.rename(old, b)
         raise OSError(f"{staged} could not become {final}")
+    fs.delete(old, True)
+
+
+#: Ending of the name of a folder that is being replaced.
+ASIDE = "._old"
+
+
+def recovered(spark: SparkSession, final: str) -> bool:
+    """Undoes a replacement that stopped half-way: the old folder comes back if there is no new one, else it goes. Whether there is a folder."""
+    fs, b = _at(spark, final)
+    _, old = _at(spark, final.rstrip("/") + ASIDE)
+    if fs.exists(old):
+        if fs.exists(b):
+            fs.delete(old, True)
+        else:
+            fs.rename(old, b)
+    return fs.exists(b)

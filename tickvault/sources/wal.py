@@ -1,7 +1,7 @@
 """Write-ahead logs as rows of writes and deletes.
 
-A log is all segments `_<n>.wal` of a shard. Entries are `type, length, compressed payload`; the place of an entry
-(segment, number, position in it) is its sequence. Replaying is relational: a value goes if a later entry deletes its
+A log is all segments `_<n>.wal` of a shard. Entries are `type, length, compressed payload`; the sequence of a row is its
+segment and its running number there, so rows are in order whatever the sizes of entries. Replaying is relational: a value goes if a later entry deletes its
 key, or a range of it with the value's time inside; of several values of one time the last stays. Deletes of a log touch
 the log's own values only.
 """
@@ -27,8 +27,8 @@ WRITE, DELETE, DELETE_RANGE = 1, 2, 3
 FLOAT, INTEGER, BOOLEAN, STRING, UNSIGNED = 1, 2, 3, 4, 5
 NUMBERS = {FLOAT: ">d", INTEGER: ">q", UNSIGNED: ">Q"}
 COLUMNS = {FLOAT: "v_double", INTEGER: "v_long", BOOLEAN: "v_bool", STRING: "v_string", UNSIGNED: "v_unsigned"}
-#: Sequences leave so many entries a segment, and values a key of an entry.
-ENTRIES, POSITIONS = 1 << 24, 1 << 20
+#: Sequences leave so many rows a segment, which is more than the bytes of any; and so many segments.
+ROWS, SEGMENTS = 1 << 40, 1 << 23
 
 
 def write_entry(values: list[tuple[bytes, int, list[tuple[int, object]]]]) -> bytes:
@@ -121,9 +121,12 @@ SCHEMA = pa.schema([("shard_id", pa.int32()), ("segment", pa.int64()), ("seq", p
 
 def logged(shard: int, segment: int, data: bytes) -> Iterator[pa.RecordBatch]:
     """The rows of one segment."""
-    out = []
-    for number, (kind, payload) in enumerate(entries(data)):
-        base = {"shard_id": shard, "segment": segment, "seq": segment * ENTRIES + number, "pos": 0, "deletes": kind != WRITE}
+    if segment >= SEGMENTS or len(data) >= ROWS:
+        raise Corrupt(f"segment {segment} of {len(data)} bytes leaves no room for sequences")
+    out, before = [], 0
+    for kind, payload in entries(data):
+        base = {"shard_id": shard, "segment": segment, "pos": 0, "deletes": kind != WRITE}
+        fresh = len(out)
         if kind == WRITE:
             for key, (own, points) in values_of(payload).items():
                 for k, (time, v) in enumerate(points):
@@ -137,6 +140,9 @@ def logged(shard: int, segment: int, data: bytes) -> Iterator[pa.RecordBatch]:
                 (n,) = struct.unpack_from(">I", payload, at)
                 out.append(base | {"key": payload[at + 4 : at + 4 + n].decode("utf-8", "replace"), "min_time": low, "max_time": high})
                 at += 4 + n
+        for k, row in enumerate(out[fresh:]):
+            row["seq"] = segment * ROWS + before + k
+        before += len(out) - fresh
         if len(out) > 50_000:
             yield pa.RecordBatch.from_pylist(out, SCHEMA)
             out = []
@@ -169,7 +175,7 @@ def replayed(rows: DataFrame, fields=None, start: int | None = None, end: int |
     if end is not None:
         kept = kept.where(F.col("time_ns") < end)
     last = latest(kept.drop("deletes", "min_time", "max_time"), ["shard_id", "key", "time_ns"], ["seq", "pos"])
-    out = named(last.withColumn("pos", F.col("seq") * POSITIONS + F.col("pos")))
+    out = named(last.withColumn("pos", F.col("seq")))
     if fields is not None:
         out = out.where(F.col("field").isin(*fields))
     return out.select(F.concat(F.lit("wal-"), F.col("shard_id")).alias("source_id"), "shard_id", F.lit(0).alias("generation"), F.lit(0).alias("sequence"), "pos", "time_ns", *TYPES, "series", "field", "inst_id", F.lit("wal").alias("kind"))
