@@ -36,6 +36,8 @@ DIGESTS = Digests()
 
 #: Bytes that a writer of an intermediate table holds before it writes them.
 ROW_GROUP = 16 << 20
+#: Whether Spark removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,8 +79,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table to the shared folder and reads it back: its lineage ends there, so a lost executor costs no more than the tasks it ran."""
+    """Writes a table to the shared folder and reads it back: its lineage ends there, so a lost executor costs no more than the tasks it ran.
+
+    Nothing reads the shuffles of a written table again, so their files go with the write and do not pile up until the
+    driver collects garbage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
