@@ -90,6 +90,16 @@ def chosen(df: DataFrame, column: str, wanted: Sequence[str]) -> DataFrame:
     return out
 
 
+def among(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows whose value is in the only column of `ids`; neither side is collected."""
+    return df.join(ids.toDF(column), column, "left_semi")
+
+
+def retained(df: DataFrame, column: str, excluded: Sequence[str] | frozenset[str] = EXCLUDED) -> DataFrame:
+    """Rows of all but the excluded names, as a predicate that reaches the scan."""
+    return df.where(~F.col(column).isin(*sorted(excluded)))
+
+
 def allowed(measurement: str, allow_excluded: bool = False) -> str:
     if measurement in EXCLUDED and not allow_excluded:
         raise ValueError(f"measurement {measurement} is excluded")

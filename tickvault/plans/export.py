@@ -20,7 +20,7 @@ def source_points(spark: SparkSession, tsm_root: str, wal_root: str | None = Non
     if wal_root is not None:
         have = stored.select("shard_id").distinct()
         known = stored.select("inst_id").distinct()
-        logs = wal.points(spark, wal_root, fields, start, end).join(have, "shard_id", "left_semi").join(known, "inst_id", "left_semi")
+        logs = filters.among(filters.among(wal.points(spark, wal_root, fields, start, end), "shard_id", have), "inst_id", known)
         rows = stored.unionByName(logs.select(stored.columns))
     return rows if inst_ids is None else filters.chosen(rows, "inst_id", inst_ids)
 

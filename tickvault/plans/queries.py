@@ -138,8 +138,8 @@ def wal_delete_seq(spark, sf_dir):
 
 @query("SELECT event_id, value FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-06'")
 def time_range_half_open(spark, sf_dir):
-    ts = F.col("ts")
-    return read(spark, sf_dir, "events").where((ts >= F.lit("2024-01-05").cast("timestamp_ntz")) & (ts < F.lit("2024-01-06").cast("timestamp_ntz"))).select("event_id", "value")
+    day = lambda d: F.lit(d).cast("timestamp_ntz")
+    return read(spark, sf_dir, "events").where(filters.between(F.col("ts"), day("2024-01-05"), day("2024-01-06"))).select("event_id", "value")
 
 
 @query(
@@ -280,7 +280,8 @@ def series_key_parse(spark, sf_dir):
 
 @query(f"SELECT user_id, event_type, time_ns, event_id FROM {SQL_HOURLY} ORDER BY user_id, event_type, time_ns, event_id LIMIT 500")
 def limit_across_series(spark, sf_dir):
-    return events(spark, sf_dir).select("user_id", "event_type", "time_ns", "event_id").orderBy("user_id", "event_type", "time_ns", "event_id").limit(500)
+    order = ["user_id", "event_type", "time_ns", "event_id"]
+    return filters.existing(events(spark, sf_dir).orderBy(*order), order, 500)
 
 
 @query("SELECT event_id, value FROM events ORDER BY event_id LIMIT 20")
@@ -293,19 +294,23 @@ def head_rows(spark, sf_dir):
        count(*) FILTER (l_linestatus = 'O') AS active, CASE WHEN count(*) FILTER (l_linestatus = 'O') > 0 THEN count(*) FILTER (l_linestatus = 'F') / count(*) FILTER (l_linestatus = 'O') END AS ratio FROM lineitem GROUP BY 1"""
 )
 def measurement_rollup(spark, sf_dir):
-    done, active = F.count_if(F.col("l_linestatus") == "F"), F.count_if(F.col("l_linestatus") == "O")
-    cents = F.sum((F.col("l_extendedprice").cast("decimal(18,2)") * 100).cast("bigint"))
-    return read(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n"), cents.alias("cents"), done.alias("completed"), active.alias("active"), decimalx.ratio(done, active).alias("ratio"))
+    """The lines of a supplier as the datasets of a measurement."""
+    status = F.when(F.col("l_linestatus") == "F", "completed").when(F.col("l_linestatus") == "O", "active").alias("status")
+    cents = (F.col("l_extendedprice").cast("decimal(18,2)") * 100).cast("bigint").alias("actual")
+    rows = read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("measurement"), status, cents, *[F.lit(1).cast("bigint").alias(c) for c in ("parts", "rows", "compressed", "uncompressed")])
+    rows = report.by_measurement(rows).withColumn("ratio", decimalx.ratio(F.col("completed"), F.col("active")))
+    return rows.select(F.col("measurement").alias("l_suppkey"), F.col("datasets").alias("n"), F.col("actual").alias("cents"), "completed", "active", "ratio")
 
 
 @query("SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1")
 def status_histogram(spark, sf_dir):
-    return read(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"))
+    return report.status_counts(read(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("status")))
 
 
 @query(f"SELECT user_id, event_type, count(*) AS n, min(time_ns) AS min_ns, max(time_ns) AS max_ns FROM {SQL_HOURLY} GROUP BY 1, 2")
 def field_counts(spark, sf_dir):
-    return events(spark, sf_dir).groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.min("time_ns").alias("min_ns"), F.max("time_ns").alias("max_ns"))
+    points = events(spark, sf_dir).select(F.lit("events").alias("source_id"), F.col("user_id").alias("inst_id"), F.col("event_type").alias("field"), "time_ns")
+    return sink.manifest(points).select(F.col("inst_id").alias("user_id"), F.col("field").alias("event_type"), "n", F.col("min_time").alias("min_ns"), F.col("max_time").alias("max_ns"))
 
 
 @query(
@@ -371,8 +376,8 @@ def source_setops(spark, sf_dir):
 
 @query("SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))")
 def instid_semi(spark, sf_dir):
-    wanted = read(spark, sf_dir, "customer").where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(F.col("c_custkey").alias("o_custkey"))
-    return read(spark, sf_dir, "orders").join(wanted, "o_custkey", "left_semi").select("o_orderkey")
+    wanted = read(spark, sf_dir, "customer").where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select("c_custkey")
+    return filters.among(read(spark, sf_dir, "orders"), "o_custkey", wanted).select("o_orderkey")
 
 
 @query(
@@ -422,8 +427,7 @@ def resume_hwm(spark, sf_dir):
 
 @query("""SELECT p_partkey, p_type FROM part WHERE p_brand NOT IN ('Brand#11', 'Brand#22', 'Brand#33')""")
 def retain_policy(spark, sf_dir):
-    deny = spark.createDataFrame([("Brand#11",), ("Brand#22",), ("Brand#33",)], "p_brand string")
-    return read(spark, sf_dir, "part").join(deny, "p_brand", "left_anti").select("p_partkey", "p_type")
+    return filters.retained(read(spark, sf_dir, "part"), "p_brand", ["Brand#11", "Brand#22", "Brand#33"]).select("p_partkey", "p_type")
 
 
 @query(
@@ -431,7 +435,8 @@ def retain_policy(spark, sf_dir):
 )
 def largest_datasets(spark, sf_dir):
     size = F.sum((F.col("l_quantity").cast("decimal(18,2)") * 1048576).cast("bigint"))
-    return read(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("k")).agg(size.alias("size")).orderBy(F.col("size").desc(), "k").limit(20)
+    datasets = read(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("dataset")).agg(size.alias("actual"))
+    return report.ordered_by(datasets, "actual").limit(20).select(F.col("dataset").alias("k"), F.col("actual").alias("size"))
 
 
 @query(
