@@ -23,8 +23,8 @@ def hot_keys(rows: DataFrame, key: str, one_in: int = 1) -> list[int]:
 
 def parted(rows: DataFrame, key: str, hot: list[int]) -> tuple[DataFrame, DataFrame]:
     """(rows of other keys, rows of hot keys)."""
-    some = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in hot], f"{key} bigint"))  # two rows a shuffle partition at most
-    return rows.join(some, key, "left_anti"), rows.join(some, key, "left_semi")
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))  # two keys a shuffle partition at most
+    return rows.where(~is_hot), rows.where(is_hot)
 
 
 def matched(rows: DataFrame, key: str, known: DataFrame, hot: list[int], how: str = "left") -> DataFrame:
