@@ -240,3 +240,39 @@ def test_log_sequences_of_large_entries():
     seqs = [x for b in wal.logged(1, 3, data) for x in b.column("seq").to_pylist()]
     assert len(seqs) == n + 2 and all(a < b for a, b in zip(seqs, seqs[1:]))
     assert max(seqs) < min(x for b in wal.logged(1, 4, data) for x in b.column("seq").to_pylist())
+
+
+def test_manifest_of_tasks(spark, tmp_path):
+    tasks = spark.createDataFrame([("b", "Y", None), ("a", "X", "completed")], "task_id string, shard_value string, status string")
+    told = sink.write_tasks(spark, f"{tmp_path}/ticks", "ticks", "instId", tasks)
+    assert [(t["task_id"], t["shard_tag"], t["status"], t["exit_code"]) for t in told["tasks"]] == [("a", "instId", "completed", None), ("b", "instId", "pending", None)]
+    assert set(told["tasks"][0]) == set(sink.TASK)
+    assert [(r.kind, r.measurement, r.status) for r in report.catalog(spark, str(tmp_path)).collect()] == [("parallel", "ticks", "active")]
+    assert sink.write_tasks(spark, f"{tmp_path}/ticks", "ticks", "instId", tasks.where("task_id = 'a'"))["status"] == "completed"
+
+
+def test_sizes_of_parts_over_runs():
+    assert sink.retuned(None, 5) == [5]
+    assert sink.retuned({"rows_per_file_history": [5]}, 5) == [5]
+    assert sink.retuned({"rows_per_file_history": [5, 7]}, 5) == [5, 7, 5]
+
+
+def test_text_in_a_checksum_is_an_error(spark):
+    from tickvault.plans import export
+
+    point = "inst_id string, field string, time_ns bigint, v_string binary, v_long bigint, shard_id int, kind string, generation int, sequence int, source_id string, pos bigint"
+    row = lambda field, text, number: ("X", field, 1, text, number, 1, "tsm", 1, 1, "s", 0)
+    good = [row("action", b"update", None), row("checksum", None, 7)]
+    assert export.book_text(spark.createDataFrame(good, point)).first().checksum == 7
+    with pytest.raises(Exception, match="an integer is expected"):
+        export.book_text(spark.createDataFrame([row("checksum", b"7", None)], point)).collect()
+
+
+def test_ids_previews_and_flags(spark):
+    from tickvault.functions import series
+
+    text = r"m,instId=B\,\ x m,instId=A,k=1 mm,instId=A other,instId=C"
+    rows = spark.createDataFrame([(text, "abcdefghij"), (None, None)], "t string, p string").select(series.ids_in(F.col("t"), "m").alias("ids"), series.preview(F.col("p"), 9).alias("p")).collect()
+    assert (rows[0].ids, rows[0].p, rows[1].ids, rows[1].p) == (["A", "B\\"], "abcdef...", None, None)
+    flags = report.all_complete(spark.createDataFrame([("a", "complete"), ("a", None), ("b", "complete")], "k string, status string"), "k").collect()
+    assert {tuple(r) for r in flags} == {("a", False, True), ("b", True, True)}

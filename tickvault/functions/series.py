@@ -6,6 +6,8 @@ null. Tags are split before they are unescaped, so an escaped `=` inside a tag k
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -87,6 +89,17 @@ def composite_key(key: Column) -> Column:
     return F.when(at > 0, F.struct(F.substring(key, F.lit(1), at - 1).alias("series"), F.substring(key, at + 4, F.length(key)).alias("field"))).otherwise(F.struct(key.alias("series"), F.lit("").alias("field")))
 
 
+def ids_in(text: Column, measurement: str, tag: str = "instId") -> Column:
+    """The sorted distinct values of the tag in all keys of the measurement that occur in a text, such as the dump of an index."""
+    pattern = rf"{re.escape(measurement)},{re.escape(tag)}=([^,\s]+)"
+    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), unescape)))
+
+
+def preview(text: Column, limit: int = 120) -> Column:
+    """A text for a report, cut to `limit` characters, the last three of which are dots then."""
+    return F.when(F.length(text) <= limit, text).otherwise(F.concat(F.substring(text, 1, limit - 3), F.lit("...")))
+
+
 def contract_month(contract: Column) -> Column:
     """struct<bucket, regex> of `underlying-DDMONYY-...`, with four parts or more; other ids are an error."""
     parts = F.split(contract, "-")

@@ -7,15 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickvault.operators.ordered import numbered
+
 #: Order of a source's kinds in one shard: a log overrides a stored file.
 KINDS = {"tsm": 0, "wal": 1}
 
 
-def source_order(prefix: str = "") -> Column:
-    """struct in precedence order, of the columns shard_id, kind, generation, sequence, source_id, pos. A log's generation does not count."""
+def _precedence(prefix: str = "") -> list[Column]:
     c = lambda name: F.col(prefix + name)
     kind = F.when(c("kind") == "wal", F.lit(KINDS["wal"])).otherwise(F.lit(KINDS["tsm"]))
-    return F.struct(c("shard_id"), kind.alias("kind"), F.when(c("kind") == "wal", F.lit(0)).otherwise(c("generation")).alias("generation"), c("sequence"), c("source_id"), c("pos"))
+    return [c("shard_id"), kind.alias("kind"), F.when(c("kind") == "wal", F.lit(0)).otherwise(c("generation")).alias("generation"), c("sequence"), c("source_id")]
+
+
+def source_order(prefix: str = "") -> Column:
+    """struct in precedence order, of the columns shard_id, kind, generation, sequence, source_id, pos. A log's generation does not count."""
+    return F.struct(*_precedence(prefix), F.col(prefix + "pos"))
+
+
+def read_order(sources: DataFrame, out: str = "rank") -> DataFrame:
+    """Adds the place, from 0, at which a source (shard_id, kind, generation, sequence, source_id) is read out: the order of precedence, the last wins."""
+    order = [f"_by_{i}" for i in range(len(_precedence()))]
+    return numbered(sources.withColumns(dict(zip(order, _precedence()))), order, out).drop(*order)
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Column | Sequence[str], form: str = "max_by") -> DataFrame:

@@ -114,6 +114,12 @@ def status_counts(statuses: DataFrame, column: str = "status") -> DataFrame:
     return statuses.groupBy(column).agg(F.count("*").alias("n"))
 
 
+def all_complete(statuses: DataFrame, by: str, column: str = "status", complete: str = "complete") -> DataFrame:
+    """(by, scan_complete, any_complete): whether all, and any, of a group's statuses are complete; a null status is not."""
+    done = F.coalesce(F.col(column) == complete, F.lit(False))
+    return statuses.groupBy(by).agg(F.every(done).alias("scan_complete"), F.some(done).alias("any_complete"))
+
+
 def nested_status_counts(statuses: DataFrame, column: str) -> DataFrame:
     """Counts of the values of a map column, such as the statuses of the tasks of a manifest."""
     return statuses.select(F.explode(F.map_values(column)).alias("status")).groupBy("status").agg(F.count("*").alias("n"))

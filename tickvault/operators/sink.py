@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +85,28 @@ def rebuild_checkpoint(spark: SparkSession, path: str, series: DataFrame, tags:
     return state
 
 
+#: Columns of a task in a manifest; those that a task does not have are null. Fixed values.
+TASK = ("task_id", "shard_tag", "shard_value", "series_key", "series_tag_key", "series_tag_regex", "start", "end", "window_label", "status", "exit_code", "dataset_path", "log_path")
+
+
+def write_tasks(spark: SparkSession, path: str, measurement: str, shard_tag: str, tasks: DataFrame) -> dict:
+    """Writes the manifest of an export that is split into tasks, in the order of their ids; a task without a status is
+    pending, and the export is completed when all of its tasks are. Tasks come to the driver, a row each."""
+    own = {c: F.col(c) if c in tasks.columns else F.lit(None).cast("string") for c in TASK}
+    own["shard_tag"], own["status"] = F.coalesce(own["shard_tag"], F.lit(shard_tag)), F.coalesce(own["status"], F.lit("pending"))
+    rows = tasks.select(*[e.alias(c) for c, e in own.items()]).orderBy("task_id")
+    told = [json.loads(r[0]) for r in rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).toLocalIterator()]
+    manifest = {"measurement": measurement, "shard_tag": shard_tag, "generated_at": datetime.now(UTC).isoformat(), "status": "completed" if all(t["status"] == "completed" for t in told) else "active", "tasks": told}
+    store.write_json(spark, f"{path}/{MANIFEST}", manifest)
+    return manifest
+
+
+def retuned(before: dict | None, rows_per_file: int) -> list[int]:
+    """The sizes of parts that the runs into a dataset asked for, without repeats in a row; the last is the present one."""
+    history = list((before or {}).get("rows_per_file_history", []))
+    return history if history[-1:] == [rows_per_file] else [*history, rows_per_file]
+
+
 #: What must not change between the runs of an export into one dataset.
 IDENTITY = ("measurement", "database", "start", "end", "limit", "tags", "tag_regex", "series_key", "fields")
 

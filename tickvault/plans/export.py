@@ -26,7 +26,9 @@ def source_points(spark: SparkSession, tsm_root: str, wal_root: str | None = Non
 
 
 def book_text(points: DataFrame) -> DataFrame:
-    """(inst_id, time_ns, action, asks, bids, checksum, ts): rewrites resolved and fields aligned, in one shuffle."""
+    """(inst_id, time_ns, action, asks, bids, checksum, ts): rewrites resolved and fields aligned, in one shuffle. A checksum that is no integer is an error."""
+    typed = F.when((F.col("field") == "checksum") & F.col("v_long").isNull(), F.raise_error(F.lit("field checksum: an integer is expected")).cast("bigint")).otherwise(F.col("v_long"))
+    points = points.withColumn("v_long", typed)
     as_text = F.coalesce(F.col("v_string").cast("string"), F.col("v_long").cast("string"))
     values = {f: F.col("v_long") if f == "checksum" else as_text for f in align.BOOK_FIELDS}
     return align.wide(points, ["inst_id", "time_ns"], "field", values, lww.source_order())
@@ -100,6 +102,6 @@ def export_measurement(spark: SparkSession, url: str, database: str, measurement
     order = [*sorted(tag_names), "time"]
     if limit is not None:
         rows = rows.orderBy(*order).limit(limit)
-    summary = sink.write(rows, out, order, rows_per_file, compression, told={"measurement": measurement, "time": "time", "tags": tag_names, "extra": {"identity": identity}})
+    summary = sink.write(rows, out, order, rows_per_file, compression, told={"measurement": measurement, "time": "time", "tags": tag_names, "extra": {"identity": identity, "rows_per_file": rows_per_file, "rows_per_file_history": sink.retuned(before, rows_per_file)}})
     store.delete(spark, fetched)
     return summary

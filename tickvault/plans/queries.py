@@ -558,3 +558,33 @@ def contract_tasks(spark, sf_dir):
 def source_manifest(spark, sf_dir):
     e = events(spark, sf_dir)
     return sink.manifest(e.select(F.concat(F.lit("ev"), (F.col("user_id") % 3).cast("string")).alias("source_id"), F.col("user_id").cast("string").alias("inst_id"), F.col("event_type").alias("field"), "time_ns"))
+
+
+@query("SELECT o_orderkey, array_to_string(list_sort(list_distinct([CAST(o_custkey AS VARCHAR), CAST(o_orderkey % 7 AS VARCHAR)])), ',') AS ids FROM orders")
+def ids_in_dump(spark, sf_dir):
+    """Instruments of the keys in a dump of an index; keys of other measurements do not count."""
+    key = lambda c: F.concat(F.lit("ev,instId="), c.cast("string"))
+    dump = F.concat_ws(" ", key(F.col("o_custkey")), F.lit("other,instId=no"), F.concat(key(F.col("o_orderkey") % 7), F.lit(",k=1")), key(F.col("o_custkey")))
+    return read(spark, sf_dir, "orders").select("o_orderkey", F.array_join(series.ids_in(dump, "ev"), ",").alias("ids"))
+
+
+@query("SELECT o_custkey, bool_and(o_orderstatus = 'F') AS scan_complete, bool_or(o_orderstatus = 'F') AS any_complete FROM orders GROUP BY 1")
+def scan_flags(spark, sf_dir):
+    return report.all_complete(read(spark, sf_dir, "orders"), "o_custkey", "o_orderstatus", "F")
+
+
+@query("SELECT p_partkey, CASE WHEN length(p_type) <= 12 THEN p_type ELSE substr(p_type, 1, 9) || '...' END AS preview FROM part")
+def previews(spark, sf_dir):
+    return read(spark, sf_dir, "part").select("p_partkey", series.preview(F.col("p_type"), 12).alias("preview"))
+
+
+@query(
+    """SELECT *, row_number() OVER (ORDER BY shard_id, kind = 'wal', generation, sequence, source_id) - 1 AS rank FROM (SELECT DISTINCT l_suppkey % 4 AS shard_id, CASE WHEN l_linestatus = 'F' THEN 'wal' ELSE 'tsm' END AS kind,
+       CASE WHEN l_linestatus = 'F' THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS generation, l_partkey AS sequence, l_suppkey AS source_id FROM lineitem)"""
+)
+def source_read_order(spark, sf_dir):
+    log = F.col("l_linestatus") == "F"
+    rows = read(spark, sf_dir, "lineitem").select(
+        (F.col("l_suppkey") % 4).alias("shard_id"), F.when(log, "wal").otherwise("tsm").alias("kind"), F.when(log, F.lit(0).cast("bigint")).otherwise(F.col("l_quantity").cast("bigint")).alias("generation"), F.col("l_partkey").alias("sequence"), F.col("l_suppkey").alias("source_id"),
+    )
+    return lww.read_order(rows.distinct())
