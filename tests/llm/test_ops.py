@@ -108,6 +108,21 @@ def test_fingerprints_of_driver_documents(spark):
     assert sum(off) / len(off) <= 0.05
 
 
+def test_fingerprints_shuffle_texts_once(spark, sf):
+    """The window takes the partitions that with_next() made; the sketches between them do not hide those."""
+    plan = QUERIES["op1_fingerprint"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "REPARTITION_BY_NUM" in plan and "Window" in plan
+
+
+def test_sketch_keeps_partitions_and_columns(spark):
+    """Columns named like those of the steps, in any case, stay, and so does the partitioning."""
+    names = ["_w", "__H", "_full", "a.b", "row", "sketch"]
+    docs = spark.createDataFrame([(i, "a b c d e f", *["mine"] * len(names)) for i in range(9)], ["doc_id", "text", *names]).repartition(3, "doc_id")
+    got = fingerprint.with_sketch(docs, "text", "sketch")
+    assert got.columns == ["doc_id", "text", *names] and got.where("`_w` <> 'mine' or `__H` <> 'mine' or `a.b` <> 'mine' or size(sketch.hashes) <> 2").isEmpty()
+    assert got.groupBy("doc_id").agg(F.max("sketch"))._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+
+
 def test_next_of_many_rows_of_one_id(spark):
     """Null and repeated ids are spread over ranges and keep their order."""
     rows = [(None, f"n{k}") for k in range(300)] + [(5, f"t{k}") for k in range(300)] + [(7, "x"), (7, "x")]

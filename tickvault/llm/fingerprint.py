@@ -29,19 +29,26 @@ TOP = SPACE - 1
 
 
 def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds `out`: struct<tau, hashes>, the hashes ascending and complete up to tau."""
-    kept = [c for c in df.columns if c != out]
-    df = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), words(F.col(f"`{text}`")).alias("w"))
-    starts = F.sequence(F.lit(1), F.size("w") - (SHINGLE - 1))
-    each = F.transform(starts, lambda i: F.shiftrightunsigned(F.xxhash64(F.slice("w", i, SHINGLE)), 16))
-    whole = F.when(F.size("w") > 0, F.array(F.shiftrightunsigned(F.xxhash64("w"), 16))).otherwise(F.array().cast("array<bigint>"))
-    df = df.select("row", F.when(F.size("w") >= SHINGLE, each).otherwise(whole).alias("h"))
+    """Adds `out`: struct<tau, hashes>, the hashes ascending and complete up to tau.
+
+    Columns pass through as they are, under names that the steps do not use: packed into a struct and taken out again
+    they would hide from Spark how the rows are partitioned, and what follows would shuffle them once more."""
+    kept = [F.col(f"`{c}`") for c in df.columns if c != out]
+    own = "_"
+    while any(c.lower().startswith(own) for c in df.columns):
+        own += "_"
+    w, h, l, k, full = (own + c for c in ("w", "h", "l", "k", "full"))  # noqa: E741
+    df = df.select(*kept, words(F.col(f"`{text}`")).alias(w))
+    starts = F.sequence(F.lit(1), F.size(w) - (SHINGLE - 1))
+    each = F.transform(starts, lambda i: F.shiftrightunsigned(F.xxhash64(F.slice(w, i, SHINGLE)), 16))
+    whole = F.when(F.size(w) > 0, F.array(F.shiftrightunsigned(F.xxhash64(w), 16))).otherwise(F.array().cast("array<bigint>"))
+    df = df.select(*kept, F.when(F.size(w) >= SHINGLE, each).otherwise(whole).alias(h))
     low = F.lit(SPACE // FRACTION)
-    df = df.select("row", "h", F.array_distinct(F.filter("h", lambda h: h < low)).alias("l"))
-    few = F.slice(F.sort_array(F.array_distinct("h")), 1, FLOOR)
-    df = df.select("row", F.when(F.size("l") >= FLOOR, F.sort_array("l")).otherwise(few).alias("k"), (F.size("l") >= FLOOR).alias("full"))
-    tau = F.when(F.col("full"), low - 1).when(F.size("k") < FLOOR, F.lit(TOP)).otherwise(F.element_at("k", -1))
-    return df.select(*[F.col("row")[c].alias(c) for c in kept], F.struct(F.greatest(tau, low - 1).alias("tau"), F.col("k").alias("hashes")).alias(out))
+    df = df.select(*kept, h, F.array_distinct(F.filter(h, lambda x: x < low)).alias(l))
+    few = F.slice(F.sort_array(F.array_distinct(h)), 1, FLOOR)
+    df = df.select(*kept, F.when(F.size(l) >= FLOOR, F.sort_array(l)).otherwise(few).alias(k), (F.size(l) >= FLOOR).alias(full))
+    tau = F.when(F.col(full), low - 1).when(F.size(k) < FLOOR, F.lit(TOP)).otherwise(F.element_at(k, -1))
+    return df.select(*kept, F.struct(F.greatest(tau, low - 1).alias("tau"), F.col(k).alias("hashes")).alias(out))
 
 
 def likeness(a: Column, b: Column) -> Column:
